@@ -9,7 +9,7 @@ versions is printed as '.'.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
@@ -44,42 +44,75 @@ def _version(ua: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_replace(v, "_", "."), F.lit(""))
 
 
-def browser_name(ua: Column) -> Column:
+def _rule_index(ua: Column, rules) -> Column:
+    """Index of the first rule whose test matches, NULL if none.
+
+    Evaluated once per row; name and version then branch on a small int, so
+    each row runs the test patterns only until the first hit.
+    """
     expr = None
-    for test, name, vpat in BROWSER_RULES:
-        value = F.lit(name) if name is not None else F.regexp_extract(ua, vpat, 1)
-        expr = F.when(ua.rlike(test), value) if expr is None else expr.when(ua.rlike(test), value)
-    return expr.otherwise(F.lit(UNKNOWN))
+    for i, (test, *_rest) in enumerate(rules):
+        expr = F.when(ua.rlike(test), F.lit(i)) if expr is None else expr.when(ua.rlike(test), F.lit(i))
+    return expr
 
 
-def browser_version(ua: Column) -> Column:
+def _by_index(idx: Column, values: list[Column], default: Column) -> Column:
     expr = None
-    for test, name, vpat in BROWSER_RULES:
-        value = _version(ua, vpat, 2 if name is None else 1)
-        expr = F.when(ua.rlike(test), value) if expr is None else expr.when(ua.rlike(test), value)
-    return expr.otherwise(F.lit(None).cast("string"))
+    for i, v in enumerate(values):
+        expr = F.when(idx == i, v) if expr is None else expr.when(idx == i, v)
+    return expr.otherwise(default)
 
 
-def os_name(ua: Column) -> Column:
-    expr = None
-    for test, name, _ in OS_RULES:
-        expr = F.when(ua.rlike(test), F.lit(name)) if expr is None else expr.when(ua.rlike(test), F.lit(name))
-    return expr.otherwise(F.lit(UNKNOWN))
+def browser_name(ua: Column, idx: Column | None = None) -> Column:
+    idx = _rule_index(ua, BROWSER_RULES) if idx is None else idx
+    names = [F.lit(name) if name is not None else F.regexp_extract(ua, vpat, 1) for _, name, vpat in BROWSER_RULES]
+    return _by_index(idx, names, F.lit(UNKNOWN))
 
 
-def os_version(ua: Column) -> Column:
-    expr = None
-    for test, _, vpat in OS_RULES:
-        value = _version(ua, vpat) if vpat else F.lit(None).cast("string")
-        expr = F.when(ua.rlike(test), value) if expr is None else expr.when(ua.rlike(test), value)
-    return expr.otherwise(F.lit(None).cast("string"))
+def browser_version(ua: Column, idx: Column | None = None) -> Column:
+    idx = _rule_index(ua, BROWSER_RULES) if idx is None else idx
+    versions = [_version(ua, vpat, 2 if name is None else 1) for _, name, vpat in BROWSER_RULES]
+    return _by_index(idx, versions, F.lit(None).cast("string"))
+
+
+def os_name(ua: Column, idx: Column | None = None) -> Column:
+    idx = _rule_index(ua, OS_RULES) if idx is None else idx
+    return _by_index(idx, [F.lit(name) for _, name, _ in OS_RULES], F.lit(UNKNOWN))
+
+
+def os_version(ua: Column, idx: Column | None = None) -> Column:
+    idx = _rule_index(ua, OS_RULES) if idx is None else idx
+    versions = [_version(ua, vpat) if vpat else F.lit(None).cast("string") for _, _, vpat in OS_RULES]
+    return _by_index(idx, versions, F.lit(None).cast("string"))
 
 
 def agent_columns(ua_col: str = "ua") -> dict[str, Column]:
+    """The four agent columns as self-contained expressions."""
     ua = F.coalesce(F.col(ua_col), F.lit(""))
+    b_idx = _rule_index(ua, BROWSER_RULES)
+    o_idx = _rule_index(ua, OS_RULES)
     return {
-        "browsername": browser_name(ua),
-        "browserversion": browser_version(ua),
-        "osname": os_name(ua),
-        "osversion": os_version(ua),
+        "browsername": browser_name(ua, b_idx),
+        "browserversion": browser_version(ua, b_idx),
+        "osname": os_name(ua, o_idx),
+        "osversion": os_version(ua, o_idx),
     }
+
+
+def with_agent_columns(df: DataFrame, ua_col: str = "ua") -> DataFrame:
+    """Add the four agent columns, matching each rule list once per row.
+
+    The matching rule's index is its own column first: an index repeated in
+    the later branches of a CASE would not be shared by subexpression
+    elimination, and Catalyst does not inline a non-trivial column that is
+    used several times.
+    """
+    ua = F.coalesce(F.col(ua_col), F.lit(""))
+    staged = df.withColumns({"_bidx": _rule_index(ua, BROWSER_RULES), "_oidx": _rule_index(ua, OS_RULES)})
+    b, o = F.col("_bidx"), F.col("_oidx")
+    return staged.withColumns({
+        "browsername": browser_name(ua, b),
+        "browserversion": browser_version(ua, b),
+        "osname": os_name(ua, o),
+        "osversion": os_version(ua, o),
+    }).drop("_bidx", "_oidx")

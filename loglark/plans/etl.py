@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loglark.functions.rowkey import access_rowkey
 from loglark.functions.timefmt import DEFAULT_ZONE
-from loglark.functions.useragent import agent_columns
+from loglark.functions.useragent import with_agent_columns
 from loglark.operators.dedup import latest_per_key
 from loglark.operators.geo import enrich_geo
 from loglark.operators.sizing import DEFAULT_BROADCAST_ROWS
@@ -32,7 +32,7 @@ def clean_access(parsed: DataFrame, geo: DataFrame, day: str | None = None, key_
     """
     df = good_rows(parsed) if "_reason" in parsed.columns else parsed
     df = enrich_geo(df, geo, broadcast_rows=broadcast_rows)
-    df = df.withColumns(agent_columns("ua"))
+    df = with_agent_columns(df, "ua")
     day_col = F.lit(day) if day is not None else F.substring(F.col("formattime"), 1, 8)
     df = df.withColumn("day", day_col)
     return df.withColumn("rowkey", access_rowkey(F.col("day"), key_algo))

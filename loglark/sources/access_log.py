@@ -44,16 +44,22 @@ def parse_lines(lines: DataFrame, value_col: str = "value", zone: str = DEFAULT_
     later operators.
     """
     v = F.col(value_col)
-    ok = v.rlike(LINE_PATTERN)
-    q = F.split(v, '"', -1)
+    # Stage 1: validate once and cut the line at its quotes once; the pieces
+    # are columns so the field extractions below do not repeat the split.
+    staged = lines.select(
+        *([v.alias("line")] if keep_line else []),
+        v.rlike(LINE_PATTERN).alias("_ok"),
+        F.split(v, '"', -1).alias("_q"))
+    q = F.col("_q")
+    ok = F.col("_ok")
     head = _field(q, 0)
     head_words = F.split(F.trim(head), " ", -1)
     req = F.split(_field(q, 1), " ", -1)
     tail = F.split(F.trim(_field(q, 2)), " ", -1)
     time_text = F.concat(F.lit("["), F.regexp_extract(head, r"\[(.*)\]", 1), F.lit("]"))
 
-    out = lines.select(
-        *([v.alias("line")] if keep_line else []),
+    out = staged.select(
+        *([F.col("line")] if keep_line else []),
         F.when(ok, _field(head_words, 0)).alias("ip"),
         F.when(ok, time_text).alias("time"),
         F.when(ok, _field(req, 0)).alias("method"),
