@@ -23,6 +23,18 @@ def _sums(prefix: str = "") -> list:
     return [F.sum(F.col(m)).cast("bigint").alias(prefix + m) for m in METRICS]
 
 
+def metric_vector(facts: DataFrame) -> DataFrame:
+    """The per-order metric vector ``[1, success, fee]``."""
+    return facts.withColumn("metrics", F.array(*[F.col(m).cast("bigint") for m in METRICS]))
+
+
+def vector_sum(df: DataFrame, col: str, size: int, *grain: str, name: str = "metrics") -> DataFrame:
+    """Element-wise sum of a fixed-size numeric array per grain (one
+    partial+final aggregate of ``size`` sums, not a zip in a reduce)."""
+    sums = [F.sum(F.col(col).getItem(i)).cast("bigint") for i in range(size)]
+    return df.groupBy(*grain).agg(F.array(*sums).alias(name))
+
+
 def metrics_by(facts: DataFrame, *grain: str) -> DataFrame:
     """total / success / fee per grain (A9 day, A10 day+hour, A13 minute)."""
     return facts.groupBy(*grain).agg(*_sums())

@@ -19,7 +19,7 @@ from loglark.operators import order_metrics as om
 from loglark.operators import traffic
 from loglark.operators.ranking import global_row_number, parse_products, ranked_products
 from loglark.operators.wordcount import word_count
-from loglark.plans.etl import clean_access, stored_rows
+from loglark.plans.etl import clean_access, run_access_etl, stored_rows
 from loglark.schemas import ACCESS_TABLE_WITH_DAY, STORED_FIELDS
 from loglark.session import new_scratch
 from loglark.sinks.tables import read_day_table, replace_day, replace_days, write_sorted_cells
@@ -74,6 +74,10 @@ def materialized_text(spark: SparkSession, sf_dir: str, kind: str, render) -> Da
     return spark.read.text(_MATERIALIZED[key])
 
 
+def materialized_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    return _MATERIALIZED[(spark.sparkContext.applicationId, sf_dir, kind)]
+
+
 # ---- shared derivations -----------------------------------------------------
 
 def events(spark, d):
@@ -180,6 +184,11 @@ def q_order_string_counters(spark, d):
     return om.string_counters(om.metrics_by(facts(spark, d), "day"))
 
 
+def q_order_metric_vectors(spark, d):
+    v = om.vector_sum(om.metric_vector(facts(spark, d)), "metrics", 3, "day")
+    return v.select("day", *[F.col("metrics").getItem(i).alias(m) for i, m in enumerate(om.METRICS)])
+
+
 def q_orders_window_tumbling(spark, d):
     return om.window_metrics(facts(spark, d), "1 hour")
 
@@ -384,6 +393,16 @@ def q_replace_day_empty(spark, d):
     return read_day_table(spark, path, ACCESS_TABLE_WITH_DAY)
 
 
+def q_access_etl_backfill(spark, d):
+    """The ETL job (read files -> parse -> geo -> agent -> key -> dedup ->
+    replace days) over the whole log, then the stored table read back."""
+    path = new_scratch(spark, "access-etl")
+    log_lines(spark, d)  # make sure the log files exist
+    src = materialized_path(spark, d, "access-log")
+    run_access_etl(spark, src, path, None, geo(spark, d), key_algo="md5")
+    return read_day_table(spark, path, ACCESS_TABLE_WITH_DAY)
+
+
 # ---- text, generator --------------------------------------------------------
 
 def q_word_count(spark, d):
@@ -406,6 +425,7 @@ QUERIES: dict[str, QueryFn] = {
     "orders_day_over_day": q_orders_day_over_day,
     "order_hash_counters": q_order_hash_counters,
     "order_string_counters": q_order_string_counters,
+    "order_metric_vectors": q_order_metric_vectors,
     "orders_window_tumbling": q_orders_window_tumbling,
     "orders_window_sliding": q_orders_window_sliding,
     "stream_counters_files": q_stream_counters_files,
@@ -441,6 +461,7 @@ QUERIES: dict[str, QueryFn] = {
     "kv_sorted_store_range": q_kv_sorted_store_range,
     "product_sort_price_stock": q_product_sort_price_stock,
     "product_sort_price": q_product_sort_price,
+    "access_etl_backfill": q_access_etl_backfill,
     "replace_day_twice": q_replace_day_twice,
     "replace_day_empty": q_replace_day_empty,
     "word_count": q_word_count,

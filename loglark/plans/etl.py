@@ -19,7 +19,7 @@ from loglark.operators.dedup import latest_per_key
 from loglark.operators.geo import enrich_geo
 from loglark.operators.sizing import DEFAULT_BROADCAST_ROWS
 from loglark.schemas import STORED_FIELDS
-from loglark.sinks.tables import replace_day
+from loglark.sinks.tables import replace_day, replace_days
 from loglark.sources.access_log import good_rows, parse_lines, quarantined, read_access_log
 
 
@@ -53,15 +53,25 @@ def access_table(lines: DataFrame, geo: DataFrame, day: str | None = None, key_a
     return stored_rows(clean_access(parsed, geo, day, key_algo, broadcast_rows))
 
 
-def run_access_etl(spark: SparkSession, input_path: str, table_path: str, day: str, geo: DataFrame,
-                   key_algo: str = "crc32", zone: str = DEFAULT_ZONE) -> None:
-    """The daily batch job: one day's files -> ``<table>/day=<day>`` replaced,
-    quarantined lines -> ``<table>_quarantine/day=<day>`` replaced.
+def run_access_etl(spark: SparkSession, input_path: str | list[str], table_path: str, day: str | None,
+                   geo: DataFrame, key_algo: str = "crc32", zone: str = DEFAULT_ZONE) -> None:
+    """The daily batch job.
+
+    With ``day`` (the job argument, M6): that day's files become
+    ``<table>/day=<day>``, replaced as a whole, and quarantined lines go to
+    ``<table>_quarantine/day=<day>``.  With ``day=None`` (backfill) every
+    record goes to its own day and all days present are replaced.
 
     The input is read twice (two outputs) instead of caching a whole day.
     """
     lines = read_access_log(spark, input_path)
     table = access_table(lines, geo, day, key_algo, zone)
-    replace_day(table.drop("day"), table_path, day)
     bad = quarantined(parse_lines(lines, zone=zone, keep_line=True))
-    replace_day(bad, table_path.rstrip("/") + "_quarantine", day)
+    qpath = table_path.rstrip("/") + "_quarantine"
+    if day is not None:
+        replace_day(table.drop("day"), table_path, day)
+        replace_day(bad, qpath, day)
+        return
+    days = [r["day"] for r in table.select("day").distinct().collect()]  # one row per day
+    replace_days(table, table_path, days)
+    bad.write.mode("overwrite").parquet(qpath)

@@ -195,6 +195,7 @@ ORACLE: dict[str, str] = {
     "order_string_counters": f"""WITH {_O}, {_DAILY}
         SELECT 'ImoocCount-' || day AS key, success AS value FROM D
         UNION ALL SELECT 'ImoocFee-' || day, fee FROM D""",
+    "order_metric_vectors": _orders_by("day"),
     "orders_window_tumbling": _WINDOW_TUMBLING,
     "orders_window_sliding": _WINDOW_SLIDING,
     "stream_counters_files": _HASH_COUNTERS,
@@ -246,6 +247,7 @@ ORACLE: dict[str, str] = {
     "product_sort_price_stock": _PRODUCTS.format(
         order="price DESC NULLS LAST, store DESC NULLS LAST, name ASC NULLS LAST"),
     "product_sort_price": _PRODUCTS.format(order="price DESC NULLS LAST, name ASC NULLS LAST"),
+    "access_etl_backfill": f"{_WITH_T} SELECT * FROM T",
     "replace_day_twice": f"{_WITH_T} SELECT * FROM T",
     "replace_day_empty": f"{_WITH_T} SELECT * FROM T WHERE day <> '20240115'",
     "word_count": r"""SELECT word, count(*) AS cnt FROM (

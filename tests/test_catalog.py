@@ -19,6 +19,7 @@ def test_entry(spark):
 
 def test_every_query_has_oracle_or_is_known():
     assert set(queries()) - set(oracle_sql()) == {"access_rowkey_crc32", "gen_orders"}
+    assert set(oracle_sql()) <= set(queries())
 
 
 @pytest.fixture(scope="module")
