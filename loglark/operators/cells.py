@@ -94,6 +94,21 @@ def get_row(cells: DataFrame, rowkey: str, family: str | None = None,
     return cells.where(cond)
 
 
+def get_rows(cells: DataFrame, keys: DataFrame, max_keys: int = 1_000_000,
+             single_row: bool = False) -> DataFrame:
+    """F1 for many keys at once: a semi join with a frame of row keys.
+
+    The key frame is broadcast only after its size is checked, unless the
+    caller passes ``single_row=True`` for a frame that has one row by
+    construction (a global aggregate), whose bound needs no count.
+    """
+    from loglark.operators.sizing import broadcast_if_small
+
+    k = keys.select("rowkey").distinct()
+    k = F.broadcast(k) if single_row else broadcast_if_small(k, max_keys)[0]
+    return cells.join(k, "rowkey", "left_semi")
+
+
 def scan_column(cells: DataFrame, family: str, qualifier: str) -> DataFrame:
     """every row's value of one column."""
     return cells.where((F.col("family") == family) & (F.col("qualifier") == qualifier)).select("rowkey", "value")

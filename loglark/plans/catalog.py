@@ -21,7 +21,7 @@ from loglark.operators.ranking import global_row_number, parse_products, ranked_
 from loglark.operators.wordcount import word_count
 from loglark.plans.etl import clean_access, run_access_etl, stored_rows
 from loglark.schemas import ACCESS_TABLE_WITH_DAY, STORED_FIELDS
-from loglark.session import new_scratch
+from loglark.session import ensure_checkpoint_dir, new_scratch
 from loglark.sinks.tables import read_day_table, replace_day, replace_days, write_sorted_cells
 from loglark.sources import adapters
 from loglark.sources.access_log import good_rows, parse_lines, quarantined
@@ -310,14 +310,11 @@ def q_cells_pivot_back(spark, d):
     return kv.cells_to_wide(kv.latest_cells(access_cells_all_versions(spark, d)), STORED_FIELDS, "o")
 
 
-def _first_rowkey(cells: DataFrame) -> str:
-    # a single scalar (min over the table) is fetched to build the point get
-    return cells.agg(F.min("rowkey").alias("k")).first()["k"]
-
-
 def q_kv_get(spark, d):
+    """Point get of the smallest row key (a one-row key frame, semi join)."""
     cells = access_cells(spark, d)
-    return kv.get_row(cells, _first_rowkey(cells)).select("rowkey", "family", "qualifier", "value")
+    first = cells.agg(F.min("rowkey").alias("rowkey"))
+    return kv.get_rows(cells, first, single_row=True).select("rowkey", "family", "qualifier", "value")
 
 
 def q_kv_range_scan(spark, d):
@@ -372,24 +369,27 @@ def q_product_sort_price(spark, d):
 
 def _write_days(spark, d, path):
     t = access_table(spark, d)
-    days = [r["day"] for r in t.select("day").distinct().collect()]  # bounded: one row per day
-    replace_days(t, path, days)
-    return t
+    replace_days(t, path)
+    return read_day_table(spark, path, ACCESS_TABLE_WITH_DAY)
 
 
 def q_replace_day_twice(spark, d):
+    """Write all days, then rerun one day twice with the same rows."""
+    ensure_checkpoint_dir(spark)
     path = new_scratch(spark, "access-table")
-    t = _write_days(spark, d, path)
-    day_rows = t.where(F.col("day") == REPLACED_DAY).drop("day")
+    stored = _write_days(spark, d, path)
+    # the day's rows are cut from the table before it is overwritten
+    day_rows = stored.where(F.col("day") == REPLACED_DAY).drop("day").checkpoint(eager=True)
     replace_day(day_rows, path, REPLACED_DAY)
     replace_day(day_rows, path, REPLACED_DAY)
     return read_day_table(spark, path, ACCESS_TABLE_WITH_DAY)
 
 
 def q_replace_day_empty(spark, d):
+    """Write all days, then rerun one day with no rows: that day is emptied."""
     path = new_scratch(spark, "access-table")
-    t = _write_days(spark, d, path)
-    replace_day(t.where(F.col("day") == REPLACED_DAY).drop("day").limit(0), path, REPLACED_DAY)
+    stored = _write_days(spark, d, path)
+    replace_day(stored.drop("day").limit(0), path, REPLACED_DAY)
     return read_day_table(spark, path, ACCESS_TABLE_WITH_DAY)
 
 

@@ -72,6 +72,5 @@ def run_access_etl(spark: SparkSession, input_path: str | list[str], table_path:
         replace_day(table.drop("day"), table_path, day)
         replace_day(bad, qpath, day)
         return
-    days = [r["day"] for r in table.select("day").distinct().collect()]  # one row per day
-    replace_days(table, table_path, days)
+    replace_days(table, table_path)
     bad.write.mode("overwrite").parquet(qpath)

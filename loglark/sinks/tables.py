@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,18 +25,26 @@ def replace_day(rows: DataFrame, table_path: str, day: str) -> None:
     rows.write.mode("overwrite").parquet(day_path(table_path, day))
 
 
-def replace_days(rows: DataFrame, table_path: str, days: Iterable[str]) -> None:
-    """Backfill of many days in one job: dynamic partition overwrite for the
-    days that have rows; days in ``days`` without rows are cleared."""
-    days = sorted(set(days))
-    (rows.where(F.col("day").isin(days))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day").parquet(table_path))
-    present = {r["day"] for r in rows.where(F.col("day").isin(days)).select("day").distinct().collect()}
-    empty = rows.drop("day").limit(0)
-    for d in days:
-        if d not in present:
+def replace_days(rows: DataFrame, table_path: str, days: Iterable[str] | None = None) -> list[str]:
+    """Backfill of many days in one job (dynamic partition overwrite).
+
+    The days that received rows are observed during the write itself (a
+    ``collect_set`` of the partition value, one entry per day), so the input
+    is computed once.  Days listed in ``days`` that got no rows are then
+    cleared, as a rerun of an empty day must leave it empty.  Returns the
+    days written.
+    """
+    target = rows if days is None else rows.where(F.col("day").isin(sorted(set(days))))
+    obs = Observation("days_written")
+    (target.observe(obs, F.collect_set("day").alias("days"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("day").parquet(table_path))
+    written = sorted(obs.get["days"] or [])
+    if days is not None:
+        empty = rows.drop("day").limit(0)
+        for d in sorted(set(days) - set(written)):
             replace_day(empty, table_path, d)
+    return written
 
 
 def read_day_table(spark: SparkSession, table_path: str, schema: T.StructType,
