@@ -235,6 +235,7 @@ ORACLE: dict[str, str] = {
         SELECT rowkey, family, qualifier, value,
                CAST(row_number() OVER (ORDER BY rowkey, family, qualifier) AS BIGINT) AS rn FROM CT""",
     "kv_get": f"{_WITH_T},{_CT} {_CELLS} WHERE rowkey = (SELECT min(rowkey) FROM CT)",
+    "kv_multi_get": f"{_WITH_T},{_CT} {_CELLS} WHERE starts_with(rowkey, '20240103_')",
     "kv_range_scan": f"{_WITH_T},{_CT} {_CELLS} WHERE rowkey >= '20240105' AND rowkey < '20240108'",
     "kv_prefix_any": f"""{_WITH_T},{_CT} {_CELLS}
         WHERE starts_with(rowkey, '20240103_') OR starts_with(rowkey, '20240117_')""",

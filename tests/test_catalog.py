@@ -63,3 +63,11 @@ def test_generator_ranges(spark):
     assert s["o"] == g.count()
     again = queries()["gen_orders"](spark, SF)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, g.collect()))  # deterministic
+
+
+def test_kv_reads_push_down_to_the_store(spark):
+    from loglark.plans import catalog
+    df = queries()["kv_range_scan"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(rowkey), GreaterThanOrEqual(rowkey,20240105), LessThan(rowkey,20240108)]" in plan
+    assert catalog.cell_store(spark, SF).count() > 0
