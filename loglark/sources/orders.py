@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loglark.functions.timefmt import day_of, hour_of, minute_of
 from loglark.schemas import ORDER_EVENT
@@ -20,23 +21,29 @@ REASON_BAD_TIME = "bad_time"
 REASON_BAD_FEE = "bad_fee"
 
 TIME_PATTERN = "^[0-9]{12}([0-9]{2})?$"
+_CORRUPT = "_corrupt_record"
 
 
 def parse_order_json(records: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text -> the six string fields + ``_reason`` (NULL when good)."""
+    """JSON text -> the six string fields + ``_reason`` (NULL when good).
+
+    One parse per record: a text that is not a JSON object comes back with
+    the corrupt-record field set (or as a NULL struct when empty).
+    """
     text = F.col(value_col).cast("string")
-    obj = F.from_json(text, ORDER_EVENT, {"mode": "PERMISSIVE"})
-    is_object = F.trim(text).startswith("{") & F.get_json_object(text, "$").isNotNull()
-    df = records.select(is_object.alias("_json_ok"), obj.alias("_o")).select(
-        "_json_ok", *[F.col("_o." + f.name).alias(f.name) for f in ORDER_EVENT.fields])
+    schema = T.StructType(ORDER_EVENT.fields + [T.StructField(_CORRUPT, T.StringType())])
+    obj = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    df = records.select(obj.alias("_o")).select(
+        (F.col("_o").isNull() | F.col(f"_o.{_CORRUPT}").isNotNull()).alias("_bad_json"),
+        *[F.col("_o." + f.name).alias(f.name) for f in ORDER_EVENT.fields])
     paid = F.col("flag").eqNullSafe("1")
     fee_num = F.col("fee").try_cast("bigint")
     reason = (
-        F.when(~F.coalesce(F.col("_json_ok"), F.lit(False)), F.lit(REASON_BAD_JSON))
+        F.when(F.col("_bad_json"), F.lit(REASON_BAD_JSON))
         .when(~F.coalesce(F.col("time").rlike(TIME_PATTERN), F.lit(False)), F.lit(REASON_BAD_TIME))
         .when(paid & fee_num.isNull(), F.lit(REASON_BAD_FEE))
     )
-    return df.withColumn("_reason", reason).drop("_json_ok")
+    return df.withColumn("_reason", reason).drop("_bad_json")
 
 
 def order_facts(parsed: DataFrame) -> DataFrame:

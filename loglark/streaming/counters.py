@@ -37,7 +37,8 @@ class OrderCounterSink:
             parsed = parsed.persist()  # X6: one parse feeds two outputs
         try:
             deltas = metrics_by(order_facts(parsed), "day", "hour", "minute")
-            deltas.write.mode("overwrite").parquet(f"{self.delta_path}/batch_id={batch_id}")
+            # one row per minute the batch spans: a single file per batch
+            deltas.coalesce(1).write.mode("overwrite").parquet(f"{self.delta_path}/batch_id={batch_id}")
             if self.quarantine_path:
                 (quarantined_orders(parsed).write.mode("overwrite")
                     .parquet(f"{self.quarantine_path}/batch_id={batch_id}"))

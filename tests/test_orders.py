@@ -26,12 +26,12 @@ def facts(spark):
 
 
 def test_quarantine(spark):
-    df = spark.createDataFrame([(r,) for r in RECORDS + [
-        '{"time":"20190130121301","fee":"x","flag":"1"}']], "value string")
+    extra = ['{"time":"20190130121301","fee":"x","flag":"1"}', "[1,2]", "", None, '"text"']
+    df = spark.createDataFrame([(r,) for r in RECORDS + extra], "value string")
     p = parse_order_json(df)
     q = rows(quarantined_orders(p), "reason", "orderid")
-    assert q == sorted([("bad_time", "o6"), ("bad_json", None), ("bad_fee", None)], key=repr)
-    assert p.where(F.col("_reason").isNull()).count() + len(q) == len(RECORDS) + 1
+    assert q == sorted([("bad_time", "o6"), ("bad_fee", None)] + [("bad_json", None)] * 5, key=repr)
+    assert p.where(F.col("_reason").isNull()).count() + len(q) == len(RECORDS) + len(extra)
 
 
 def test_by_day(facts):
