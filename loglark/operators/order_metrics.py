@@ -91,7 +91,7 @@ def day_over_day(daily: DataFrame, day_fmt: str = "yyyyMMdd") -> DataFrame:
     gets NULL previous values.
     """
     prev = daily.select(
-        F.date_format(F.date_add(F.to_date(F.col("day"), day_fmt), 1), day_fmt).alias("day"),
+        F.date_format(F.date_add(F.try_to_date(F.col("day"), day_fmt), 1), day_fmt).alias("day"),
         *[F.col(m).alias("prev_" + m) for m in METRICS])
     j = daily.join(prev, "day", "left")
     cols = [F.col("day")]

@@ -52,7 +52,7 @@ CITY_SPLITS = 4  # cities per nation, by second octet
 
 
 def event_k(events: DataFrame) -> Column:
-    return F.get_json_object(F.col("props"), "$.k").cast("bigint")
+    return F.get_json_object(F.col("props"), "$.k").try_cast("bigint")
 
 
 def access_fields(events: DataFrame) -> DataFrame:

@@ -85,3 +85,12 @@ def test_windows(facts):
     assert t == [("2019-01-30 12:00:00", 3), ("2019-01-30 13:00:00", 1), ("2019-01-31 00:00:00", 2)]
     s = dict(rows(om.window_metrics(facts, "1 hour", "30 minutes"), "window_start", "success"))
     assert s["2019-01-30 11:30:00"] == 1 and s["2019-01-30 12:00:00"] == 1 and s["2019-01-30 12:30:00"] == 1
+
+
+def test_bad_calendar_day_does_not_fail(spark):
+    recs = ['{"time":"20191399000000","fee":"1","flag":"1"}', '{"time":"20190130000000","fee":"1","flag":"1"}']
+    f = order_facts(parse_order_json(spark.createDataFrame([(r,) for r in recs], "value string")))
+    out = {r["day"]: r["prev_total"] for r in om.day_over_day(om.metrics_by(f, "day")).collect()}
+    assert out == {"20191399": None, "20190130": None}
+    w = rows(om.window_metrics(f, "1 hour"), "window_start", "total")
+    assert (None, 1) in w
