@@ -60,13 +60,15 @@ def minute_of(time_col: Column) -> Column:
 
 
 def order_event_time(time_col: Column) -> Column:
-    """Event time of an order as TIMESTAMP_NTZ (for windows), NULL if malformed.
+    """Event time of an order (``yyyyMMddHHmm[ss]``) as TIMESTAMP_NTZ; NULL if
+    the text is not 12 or 14 digits or not a calendar time.
 
     Built field by field so that no session zone is involved."""
-    digits = time_col.rlike("^[0-9]{14}$")
-    part = lambda pos, n: F.substring(time_col, pos, n).cast("int")
+    digits = time_col.rlike("^[0-9]{12}([0-9]{2})?$")
+    part = lambda pos, n: F.substring(time_col, pos, n).try_cast("int")
+    secs = F.when(F.length(time_col) == 14, part(13, 2)).otherwise(F.lit(0))
     ts = F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2),
-                                  part(13, 2).cast("decimal(16,6)"))
+                                  secs.cast("decimal(16,6)"))
     return F.when(digits, ts)
 
 

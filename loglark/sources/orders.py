@@ -1,5 +1,6 @@
 """Order events: JSON text -> typed facts.
 
+A time that is not 12 or 14 digits or not a calendar time is quarantined.
 Every JSON field is declared STRING, so ``"12"`` and ``12`` both read as
 ``'12'``.  ``flag <=> '1'`` decides paid; a missing flag is unpaid but still
 counts in ``total``.  Fee is used only for paid orders.  Malformed records
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loglark.functions.timefmt import day_of, hour_of, minute_of
+from loglark.functions.timefmt import day_of, hour_of, minute_of, order_event_time
 from loglark.schemas import ORDER_EVENT
 
 REASON_BAD_JSON = "bad_json"
@@ -40,7 +41,7 @@ def parse_order_json(records: DataFrame, value_col: str = "value") -> DataFrame:
     fee_num = F.col("fee").try_cast("bigint")
     reason = (
         F.when(F.col("_bad_json"), F.lit(REASON_BAD_JSON))
-        .when(~F.coalesce(F.col("time").rlike(TIME_PATTERN), F.lit(False)), F.lit(REASON_BAD_TIME))
+        .when(order_event_time(F.col("time")).isNull(), F.lit(REASON_BAD_TIME))
         .when(paid & fee_num.isNull(), F.lit(REASON_BAD_FEE))
     )
     return df.withColumn("_reason", reason).drop("_bad_json")

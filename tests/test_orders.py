@@ -87,10 +87,12 @@ def test_windows(facts):
     assert s["2019-01-30 11:30:00"] == 1 and s["2019-01-30 12:00:00"] == 1 and s["2019-01-30 12:30:00"] == 1
 
 
-def test_bad_calendar_day_does_not_fail(spark):
-    recs = ['{"time":"20191399000000","fee":"1","flag":"1"}', '{"time":"20190130000000","fee":"1","flag":"1"}']
-    f = order_facts(parse_order_json(spark.createDataFrame([(r,) for r in recs], "value string")))
-    out = {r["day"]: r["prev_total"] for r in om.day_over_day(om.metrics_by(f, "day")).collect()}
-    assert out == {"20191399": None, "20190130": None}
-    w = rows(om.window_metrics(f, "1 hour"), "window_start", "total")
-    assert (None, 1) in w
+def test_impossible_calendar_time_is_quarantined(spark):
+    recs = ['{"time":"20191399000000","fee":"1","flag":"1"}', '{"time":"20190130000000","fee":"1","flag":"1"}',
+            '{"time":"201901301205","fee":"2","flag":"1"}']
+    p = parse_order_json(spark.createDataFrame([(r,) for r in recs], "value string"))
+    assert rows(quarantined_orders(p), "reason", "time") == [("bad_time", "20191399000000")]
+    f = order_facts(p)
+    assert rows(om.metrics_by(f, "day")) == [("20190130", 2, 2, 3)]
+    assert rows(om.window_metrics(f, "1 hour"), "window_start", "total") == [
+        ("2019-01-30 00:00:00", 1), ("2019-01-30 12:00:00", 1)]
