@@ -34,6 +34,26 @@ def session_defaults(shuffle_partitions: int | None = None) -> dict[str, str]:
     return conf
 
 
+def scale_settings(shuffle_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a job that shuffles about ``shuffle_bytes`` on ``total_cores``.
+
+    Start with enough shuffle partitions that each holds ~``partition_bytes``
+    (and at least three waves of tasks); AQE coalesces the small ones and
+    splits any partition over twice the target that is also 4x the median
+    (a hot key).  Scan splits use the same size so a task's input fits its
+    share of executor memory and spills instead of failing.
+    """
+    n = max(total_cores * 3, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+
+
 def get_session(master: str | None = None, app: str = "loglark",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:

@@ -45,3 +45,10 @@ def test_create_table_if_missing(spark):
     t = kv.create_table_if_missing(spark, path)
     assert t.count() == 0 and t.columns == ["rowkey", "family", "qualifier", "value", "ts"]
     assert kv.create_table_if_missing(spark, path).count() == 0
+
+
+def test_scale_settings():
+    from loglark.session import scale_settings
+    s = scale_settings(150 << 30, 8000)
+    assert s["spark.sql.shuffle.partitions"] == "24000"
+    assert scale_settings(100 << 40, 8000)["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
