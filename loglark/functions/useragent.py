@@ -99,6 +99,31 @@ def agent_columns(ua_col: str = "ua") -> dict[str, Column]:
     }
 
 
+_STAGED_CACHE: dict[tuple, tuple] = {}
+
+
+def _staged_exprs(ua_col: str) -> tuple:
+    """The index and output expressions, built once per JVM: they are pure
+    column expressions (no DataFrame inside), so they can be reused, and
+    building hundreds of nested Column objects costs py4j round trips."""
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    key = (ua_col, id(sc), sc.applicationId if sc else None)
+    if key not in _STAGED_CACHE:
+        ua = F.coalesce(F.col(ua_col), F.lit(""))
+        idx = {"_bidx": _rule_index(ua, BROWSER_RULES), "_oidx": _rule_index(ua, OS_RULES)}
+        b, o = F.col("_bidx"), F.col("_oidx")
+        outs = {
+            "browsername": browser_name(ua, b),
+            "browserversion": browser_version(ua, b),
+            "osname": os_name(ua, o),
+            "osversion": os_version(ua, o),
+        }
+        _STAGED_CACHE[key] = (idx, outs)
+    return _STAGED_CACHE[key]
+
+
 def with_agent_columns(df: DataFrame, ua_col: str = "ua") -> DataFrame:
     """Add the four agent columns, matching each rule list once per row.
 
@@ -107,12 +132,5 @@ def with_agent_columns(df: DataFrame, ua_col: str = "ua") -> DataFrame:
     elimination, and Catalyst does not inline a non-trivial column that is
     used several times.
     """
-    ua = F.coalesce(F.col(ua_col), F.lit(""))
-    staged = df.withColumns({"_bidx": _rule_index(ua, BROWSER_RULES), "_oidx": _rule_index(ua, OS_RULES)})
-    b, o = F.col("_bidx"), F.col("_oidx")
-    return staged.withColumns({
-        "browsername": browser_name(ua, b),
-        "browserversion": browser_version(ua, b),
-        "osname": os_name(ua, o),
-        "osversion": os_version(ua, o),
-    }).drop("_bidx", "_oidx")
+    idx, outs = _staged_exprs(ua_col)
+    return df.withColumns(idx).withColumns(outs).drop("_bidx", "_oidx")
