@@ -102,7 +102,7 @@ def day_over_day(daily: DataFrame, day_fmt: str = "yyyyMMdd") -> DataFrame:
     return j.select(*cols)
 
 
-def hash_counters(minute: DataFrame, prefix: str = "Imooc-") -> DataFrame:
+def hash_counters(minute: DataFrame, prefix: str = "orders-") -> DataFrame:
     """D14 long form: key ``<prefix><day>``; fields ``total, success, fee`` per
     day and ``total<HH>, success<HH>, fee<HH>`` per hour."""
     r = (minute.rollup("day", "hour")
@@ -115,8 +115,8 @@ def hash_counters(minute: DataFrame, prefix: str = "Imooc-") -> DataFrame:
              .select("key", "_p.field", "_p.value"))
 
 
-def string_counters(daily: DataFrame, count_prefix: str = "ImoocCount-",
-                    fee_prefix: str = "ImoocFee-") -> DataFrame:
+def string_counters(daily: DataFrame, count_prefix: str = "paid-count-",
+                    fee_prefix: str = "paid-fee-") -> DataFrame:
     """``<count_prefix><day>`` -> paid orders, ``<fee_prefix><day>`` -> paid fee."""
     pairs = F.array(
         F.struct(F.concat(F.lit(count_prefix), F.col("day")).alias("key"), F.col("success").alias("value")),

@@ -37,12 +37,12 @@ _HASH_COUNTERS = f"""
 WITH {_O},
 H AS (SELECT day, hour, {_SUMS} FROM O GROUP BY day, hour),
 {_DAILY}
-SELECT 'Imooc-' || day AS key, 'total' AS field, total AS value FROM D
-UNION ALL SELECT 'Imooc-' || day, 'success', success FROM D
-UNION ALL SELECT 'Imooc-' || day, 'fee', fee FROM D
-UNION ALL SELECT 'Imooc-' || day, 'total' || hour, total FROM H
-UNION ALL SELECT 'Imooc-' || day, 'success' || hour, success FROM H
-UNION ALL SELECT 'Imooc-' || day, 'fee' || hour, fee FROM H
+SELECT 'orders-' || day AS key, 'total' AS field, total AS value FROM D
+UNION ALL SELECT 'orders-' || day, 'success', success FROM D
+UNION ALL SELECT 'orders-' || day, 'fee', fee FROM D
+UNION ALL SELECT 'orders-' || day, 'total' || hour, total FROM H
+UNION ALL SELECT 'orders-' || day, 'success' || hour, success FROM H
+UNION ALL SELECT 'orders-' || day, 'fee' || hour, fee FROM H
 """
 
 
@@ -193,8 +193,8 @@ ORACLE: dict[str, str] = {
     "orders_day_over_day": _DAY_OVER_DAY,
     "order_hash_counters": _HASH_COUNTERS,
     "order_string_counters": f"""WITH {_O}, {_DAILY}
-        SELECT 'ImoocCount-' || day AS key, success AS value FROM D
-        UNION ALL SELECT 'ImoocFee-' || day, fee FROM D""",
+        SELECT 'paid-count-' || day AS key, success AS value FROM D
+        UNION ALL SELECT 'paid-fee-' || day, fee FROM D""",
     "order_metric_vectors": _orders_by("day"),
     "orders_window_tumbling": _WINDOW_TUMBLING,
     "orders_window_sliding": _WINDOW_SLIDING,

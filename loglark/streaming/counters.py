@@ -66,13 +66,13 @@ def minute_totals(spark: SparkSession, delta_path: str) -> DataFrame:
     return metrics_by(read_deltas(spark, delta_path), "day", "hour", "minute")
 
 
-def hash_counter_view(spark: SparkSession, delta_path: str, prefix: str = "Imooc-") -> DataFrame:
+def hash_counter_view(spark: SparkSession, delta_path: str, prefix: str = "orders-") -> DataFrame:
     """K6 read view: ``(key, field, value)`` like ``hincrBy`` would have left."""
     return hash_counters(minute_totals(spark, delta_path), prefix)
 
 
-def string_counter_view(spark: SparkSession, delta_path: str, count_prefix: str = "ImoocCount-",
-                        fee_prefix: str = "ImoocFee-") -> DataFrame:
+def string_counter_view(spark: SparkSession, delta_path: str, count_prefix: str = "paid-count-",
+                        fee_prefix: str = "paid-fee-") -> DataFrame:
     """K5 read view: ``(key, value)`` like ``incrBy`` would have left."""
     daily = metrics_by(read_deltas(spark, delta_path), "day")
     return string_counters(daily, count_prefix, fee_prefix)

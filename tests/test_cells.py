@@ -9,8 +9,8 @@ from loglark.session import new_scratch
 from loglark.sinks.tables import write_sorted_cells
 
 FAMILIES = {"info": ["age", "birthday", "company"], "address": ["country", "province", "city"]}
-WIDE = [("pk", "18", "2000-01-01", "imooc", "CN", "BJ", "BJ"),
-        ("zhangsan", "20", "1998-02-02", "acme", "CN", "SH", "SH")]
+WIDE = [("row-a", "18", "2000-01-01", "globex", "CN", "BJ", "BJ"),
+        ("row-b", "20", "1998-02-02", "acme", "CN", "SH", "SH")]
 
 
 @pytest.fixture(scope="module")
@@ -22,21 +22,21 @@ def cells(spark):
 
 def test_put_and_update(spark, cells):
     assert cells.count() == 12 and cells.select("rowkey").distinct().count() == 2
-    updated = kv.update_cell(spark, cells, "zhangsan", "info", "age", "21", 2)
+    updated = kv.update_cell(spark, cells, "row-b", "info", "age", "21", 2)
     latest = kv.latest_cells(updated)
     assert latest.count() == 12
-    got = dict(rows(kv.get_row(latest, "zhangsan", "info").select("qualifier", "value")))
+    got = dict(rows(kv.get_row(latest, "row-b", "info").select("qualifier", "value")))
     assert got == {"age": "21", "birthday": "1998-02-02", "company": "acme"}
 
 
 def test_scans(cells):
-    assert rows(kv.scan_range(cells, "pk", "zhangsan").select("rowkey").distinct()) == [("pk",)]
-    assert rows(kv.scan_prefix_any(cells, ["p", "x"]).select("rowkey").distinct()) == [("pk",)]
-    assert rows(kv.scan_from(cells, "q").select("rowkey").distinct()) == [("zhangsan",)]
-    assert rows(kv.scan_regex(cells, "^z.*n$").select("rowkey").distinct()) == [("zhangsan",)]
+    assert rows(kv.scan_range(cells, "row-a", "row-b").select("rowkey").distinct()) == [("row-a",)]
+    assert rows(kv.scan_prefix_any(cells, ["row-a", "x"]).select("rowkey").distinct()) == [("row-a",)]
+    assert rows(kv.scan_from(cells, "row-b").select("rowkey").distinct()) == [("row-b",)]
+    assert rows(kv.scan_regex(cells, "^r.*b$").select("rowkey").distinct()) == [("row-b",)]
     assert kv.scan_family(cells, "address").count() == 6
-    assert rows(kv.scan_column(cells, "info", "company")) == [("pk", "imooc"), ("zhangsan", "acme")]
-    assert kv.get_row(cells, "pk", "info", "age").count() == 1
+    assert rows(kv.scan_column(cells, "info", "company")) == [("row-a", "globex"), ("row-b", "acme")]
+    assert kv.get_row(cells, "row-a", "info", "age").count() == 1
     assert rows(kv.list_families(cells)) == [("address",), ("info",)]
 
 
@@ -59,7 +59,7 @@ def test_sorted_store_pushdown(spark, cells):
     path = new_scratch(spark, "test-cells")
     write_sorted_cells(cells, path, partitions=2)
     stored = spark.read.parquet(path)
-    q = kv.scan_prefix(stored, "zh")
+    q = kv.scan_prefix(stored, "row-b")
     plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "StringStartsWith(rowkey,zh)" in plan
+    assert "StringStartsWith(rowkey,row-b)" in plan
     assert q.count() == 6

@@ -72,12 +72,12 @@ def test_day_over_day(facts):
 
 def test_counters(facts):
     hc = {(k, f): v for k, f, v in rows(om.hash_counters(om.minute_metrics(facts)))}
-    assert hc[("Imooc-20190130", "total")] == 4 and hc[("Imooc-20190130", "fee")] == 120
-    assert hc[("Imooc-20190130", "success12")] == 1 and hc[("Imooc-20190131", "total00")] == 2
-    assert hc[("Imooc-20190131", "success")] == 0  # a day with no paid order still has its key
+    assert hc[("orders-20190130", "total")] == 4 and hc[("orders-20190130", "fee")] == 120
+    assert hc[("orders-20190130", "success12")] == 1 and hc[("orders-20190131", "total00")] == 2
+    assert hc[("orders-20190131", "success")] == 0  # a day with no paid order still has its key
     sc = dict(rows(om.string_counters(om.metrics_by(facts, "day"))))
-    assert sc == {"ImoocCount-20190130": 2, "ImoocFee-20190130": 120, "ImoocCount-20190131": 0,
-                  "ImoocFee-20190131": 0}
+    assert sc == {"paid-count-20190130": 2, "paid-fee-20190130": 120, "paid-count-20190131": 0,
+                  "paid-fee-20190131": 0}
 
 
 def test_windows(facts):

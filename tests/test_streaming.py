@@ -35,7 +35,7 @@ def test_one_batch_many_batches_and_replay_agree(spark):
     a, b = _counters(spark, root + "/d1"), _counters(spark, root + "/d2")
     assert a == b
     hc = {(k, f): v for k, f, v in a[0]}
-    assert hc[("Imooc-20190130", "total")] == 4 and hc[("Imooc-20190130", "fee")] == 120
+    assert hc[("orders-20190130", "total")] == 4 and hc[("orders-20190130", "fee")] == 120
     q = spark.read.parquet(root + "/d2_quarantine")
     assert q.count() == 2  # short time, not JSON
 
