@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values (must equal the source system's): the log time format, the
+# minute format of ``formattime`` and the zone its examples are printed in.
 LOG_TIME_PATTERN = "dd/MMM/yyyy:HH:mm:ss Z"
 MINUTE_PATTERN = "yyyyMMddHHmm"
 DEFAULT_ZONE = "+08:00"

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The parsed log row.  Every field is text, as in the source system;
-# the spelling ``protocal`` is kept on purpose.
+# Fixed values (must equal the source system's): the parsed log row's column
+# names, the 15 stored qualifiers and their family.  Every field is text; the
+# spelling ``protocal`` is kept on purpose.
+# The parsed log row.
 PARSED_LOG_FIELDS = [
     "ip", "country", "province", "city", "time", "method", "url", "protocal",
     "status", "bytessent", "referer", "browsername", "browserversion",
