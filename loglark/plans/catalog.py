@@ -78,6 +78,25 @@ def materialized_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
     return _MATERIALIZED[(spark.sparkContext.applicationId, sf_dir, kind)]
 
 
+def access_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored day-partitioned access table, written once per session by
+    the ETL job (backfill mode) and read back like the analysis jobs read it:
+    by partition (day) and by column."""
+    key = (spark.sparkContext.applicationId, sf_dir, "access-store")
+    if key not in _MATERIALIZED:
+        path = new_scratch(spark, "access-store")
+        log_lines(spark, sf_dir)
+        run_access_etl(spark, materialized_path(spark, sf_dir, "access-log"), path, None, geo(spark, sf_dir),
+                       key_algo="md5")
+        _MATERIALIZED[key] = path
+    return read_day_table(spark, _MATERIALIZED[key], ACCESS_TABLE_WITH_DAY)
+
+
+def materialized_path_of_store(spark: SparkSession, sf_dir: str) -> str:
+    access_store(spark, sf_dir)
+    return materialized_path(spark, sf_dir, "access-store")
+
+
 def cell_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The access cells as a stored key-value table: written once per session
     (K3: range-partitioned and sorted by row key) and read back, so point,
@@ -135,8 +154,8 @@ def access_cells_all_versions(spark, d):
 
 
 def access_cells(spark, d):
-    t = access_table(spark, d)
-    return kv.to_cells(t, STORED_FIELDS, "o")
+    """The stored access rows as cells of family ``o`` (one version each)."""
+    return kv.to_cells(access_store(spark, d), STORED_FIELDS, "o")
 
 
 def customer_cells(spark, d):
@@ -261,11 +280,11 @@ def q_access_dedup(spark, d):
 
 
 def q_user_agent_stats(spark, d):
-    return traffic.agent_visits(access_table(spark, d))
+    return traffic.agent_visits(access_store(spark, d))
 
 
 def q_browser_version_stats(spark, d):
-    return traffic.browser_version_visits(access_table(spark, d))
+    return traffic.browser_version_visits(access_store(spark, d))
 
 
 def q_geo_enrich(spark, d):
@@ -277,31 +296,38 @@ def q_geo_unmatched(spark, d):
 
 
 def q_region_visits(spark, d):
-    return traffic.region_visits(access_table(spark, d))
+    return traffic.region_visits(access_store(spark, d))
 
 
 def q_region_top10(spark, d):
-    return traffic.region_top(access_table(spark, d), 10).withColumn("rank", F.col("rank").cast("bigint"))
+    return traffic.region_top(access_store(spark, d), 10).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def q_city_visits(spark, d):
-    return traffic.city_visits(access_table(spark, d))
+    return traffic.city_visits(access_store(spark, d))
 
 
 def q_browser_visits_df(spark, d):
-    return traffic.browser_visits(access_table(spark, d))
+    return traffic.browser_visits(access_store(spark, d))
 
 
 def q_browser_visits_sql(spark, d):
-    return traffic.browser_visits_sql(spark, access_table(spark, d))
+    return traffic.browser_visits_sql(spark, access_store(spark, d))
+
+
+def q_browser_visits_day(spark, d):
+    """S2 + A3: one day of the stored table (partition pruning), three
+    columns of it (column pruning), as the daily analysis job reads it."""
+    day = read_day_table(spark, materialized_path_of_store(spark, d), ACCESS_TABLE_WITH_DAY, [REPLACED_DAY])
+    return traffic.browser_visits(day)
 
 
 def q_browser_stat_day(spark, d):
-    return traffic.browser_stat(access_table(spark, d))
+    return traffic.browser_stat(access_store(spark, d))
 
 
 def q_url_clicks(spark, d):
-    return traffic.url_clicks(access_table(spark, d))
+    return traffic.url_clicks(access_store(spark, d))
 
 
 def q_query_keyword_counts(spark, d):
@@ -390,8 +416,7 @@ def q_product_sort_price(spark, d):
 # ---- sinks ------------------------------------------------------------------
 
 def _write_days(spark, d, path):
-    t = access_table(spark, d)
-    replace_days(t, path)
+    replace_days(access_store(spark, d), path)
     return read_day_table(spark, path, ACCESS_TABLE_WITH_DAY)
 
 
@@ -467,6 +492,7 @@ QUERIES: dict[str, QueryFn] = {
     "city_visits": q_city_visits,
     "browser_visits_df": q_browser_visits_df,
     "browser_visits_sql": q_browser_visits_sql,
+    "browser_visits_day": q_browser_visits_day,
     "browser_stat_day": q_browser_stat_day,
     "url_clicks": q_url_clicks,
     "query_keyword_counts": q_query_keyword_counts,

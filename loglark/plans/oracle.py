@@ -219,6 +219,8 @@ ORACLE: dict[str, str] = {
     "city_visits": _visits("country, province, city"),
     "browser_visits_df": _visits("browsername"),
     "browser_visits_sql": _visits("browsername"),
+    "browser_visits_day": f"""{_WITH_T} SELECT browsername, count(*) AS visits, CAST(sum(hits) AS BIGINT) AS page_views
+        FROM T WHERE day = '20240115' GROUP BY browsername""",
     "browser_stat_day": f"""{_WITH_T} SELECT day, coalesce(browsername, 'Unknown') AS browser,
         count(*) AS cnt FROM T GROUP BY day, browsername""",
     "url_clicks": _visits("url"),
