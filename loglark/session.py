@@ -71,8 +71,9 @@ def get_session(master: str | None = None, app: str = "loglark",
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and checkpoints.
 
-    Read from ``spark.checkpoint.dir``; if unset (tests, local runs) create a
-    private directory once per session and register it as checkpoint dir.
+    Read from ``spark.checkpoint.dir``; if unset and the master is local
+    (tests) create a private directory once per session and register it as
+    checkpoint dir.  On a cluster an unset setting is an error.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None)
@@ -83,6 +84,9 @@ def scratch_root(spark: SparkSession) -> str:
             root = None
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        # executors cannot see a driver-local folder: the cluster must name a shared one
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL_ROOT:
         _LOCAL_ROOT[key] = tempfile.mkdtemp(prefix="loglark-")
