@@ -96,3 +96,9 @@ def test_impossible_calendar_time_is_quarantined(spark):
     assert rows(om.metrics_by(f, "day")) == [("20190130", 2, 2, 3)]
     assert rows(om.window_metrics(f, "1 hour"), "window_start", "total") == [
         ("2019-01-30 00:00:00", 1), ("2019-01-30 12:00:00", 1)]
+
+
+def test_counters_map_view(facts):
+    m = {r["key"]: r["fields"] for r in om.counters_as_map(om.hash_counters(om.minute_metrics(facts))).collect()}
+    assert m["orders-20190130"]["total"] == 4 and m["orders-20190130"]["fee13"] == 20
+    assert set(m["orders-20190131"]) == {"total", "success", "fee", "total00", "success00", "fee00"}
