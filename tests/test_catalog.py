@@ -71,3 +71,13 @@ def test_kv_reads_push_down_to_the_store(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(rowkey), GreaterThanOrEqual(rowkey,20240105), LessThan(rowkey,20240108)]" in plan
     assert catalog.cell_store(spark, SF).count() > 0
+
+
+UNWANTED = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
+
+
+def test_no_query_plan_has_nested_loops_or_python(spark):
+    for name, fn in queries().items():
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        for op in UNWANTED:
+            assert op not in plan, (name, op)
