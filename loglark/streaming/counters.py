@@ -78,20 +78,46 @@ def string_counter_view(spark: SparkSession, delta_path: str, count_prefix: str
     return string_counters(daily, count_prefix, fee_prefix)
 
 
+COMPACT_SCHEMA = T.StructType(ORDER_DELTA.fields + [T.StructField("upto", T.LongType())])
+
+
+def latest_compaction(spark: SparkSession, compact_path: str) -> int | None:
+    """Highest batch id folded so far (from the ``upto=<id>`` partitions)."""
+    try:
+        comp = spark.read.schema(COMPACT_SCHEMA).parquet(compact_path)
+        return comp.agg(F.max("upto").alias("u")).first()["u"]
+    except Exception:  # noqa: BLE001 - nothing compacted yet
+        return None
+
+
 def compact_deltas(spark: SparkSession, delta_path: str, upto_batch: int, compact_path: str) -> None:
-    """Fold finished batches ``<= upto_batch`` into one minute-grain table.
+    """Fold finished batches ``<= upto_batch`` into ``<compact_path>/upto=<id>``.
 
-    The result goes to ``<compact_path>/upto=<id>``; readers then combine it
-    with deltas of batch ids above ``upto_batch`` (see
-    :func:`minute_totals_compacted`).  Old delta directories may be removed by
-    the operator afterwards.
+    Incremental: the previous compaction (``upto=M``) plus the deltas of
+    batches in ``(M, upto_batch]``, so delta directories at or below M may
+    already have been removed.  Readers use the highest ``upto`` and only the
+    deltas above it, so a replayed old batch can never count twice.
     """
-    d = read_deltas(spark, delta_path).where(F.col("batch_id") <= upto_batch)
-    (metrics_by(d, "day", "hour", "minute")
+    prev = latest_compaction(spark, compact_path)
+    if prev is not None and prev >= upto_batch:
+        return
+    d = read_deltas(spark, delta_path)
+    if prev is None:
+        parts = d.where(F.col("batch_id") <= upto_batch).drop("batch_id")
+    else:
+        base = spark.read.schema(ORDER_DELTA).parquet(f"{compact_path.rstrip('/')}/upto={prev}")
+        parts = base.unionByName(
+            d.where((F.col("batch_id") > prev) & (F.col("batch_id") <= upto_batch)).drop("batch_id"))
+    (metrics_by(parts, "day", "hour", "minute")
         .write.mode("overwrite").parquet(f"{compact_path.rstrip('/')}/upto={upto_batch}"))
 
 
-def minute_totals_compacted(spark: SparkSession, delta_path: str, compact_path: str, upto_batch: int) -> DataFrame:
-    base = spark.read.schema(ORDER_DELTA).parquet(f"{compact_path.rstrip('/')}/upto={upto_batch}")
-    rest = read_deltas(spark, delta_path).where(F.col("batch_id") > upto_batch).drop("batch_id")
+def minute_totals_compacted(spark: SparkSession, delta_path: str, compact_path: str,
+                            upto_batch: int | None = None) -> DataFrame:
+    """Running minute totals = latest compaction + deltas of later batches."""
+    upto = latest_compaction(spark, compact_path) if upto_batch is None else upto_batch
+    if upto is None:
+        return minute_totals(spark, delta_path)
+    base = spark.read.schema(ORDER_DELTA).parquet(f"{compact_path.rstrip('/')}/upto={upto}")
+    rest = read_deltas(spark, delta_path).where(F.col("batch_id") > upto).drop("batch_id")
     return metrics_by(base.unionByName(rest), "day", "hour", "minute")

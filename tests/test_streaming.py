@@ -56,8 +56,14 @@ def test_compaction(spark):
     for i, r in enumerate(RECORDS):
         sink(spark.createDataFrame([(r,)], "value string"), i)
     full = rows(sc.minute_totals(spark, root + "/deltas"))
+    assert sc.latest_compaction(spark, root + "/compact") is None
     sc.compact_deltas(spark, root + "/deltas", 3, root + "/compact")
-    assert rows(sc.minute_totals_compacted(spark, root + "/deltas", root + "/compact", 3)) == full
+    assert rows(sc.minute_totals_compacted(spark, root + "/deltas", root + "/compact")) == full
+    sc.compact_deltas(spark, root + "/deltas", 6, root + "/compact")  # incremental on top of upto=3
+    assert sc.latest_compaction(spark, root + "/compact") == 6
+    assert rows(sc.minute_totals_compacted(spark, root + "/deltas", root + "/compact")) == full
+    sink(spark.createDataFrame([(RECORDS[0],)], "value string"), 2)  # a replay below the fold: ignored
+    assert rows(sc.minute_totals_compacted(spark, root + "/deltas", root + "/compact")) == full
 
 
 def test_windowed_stream(spark):
