@@ -29,6 +29,7 @@ from loglark.sources.generator import generate_orders
 from loglark.sources.orders import order_facts, parse_order_json
 from loglark.streaming import counters as sc
 from loglark.streaming.sources import order_stream_from_files
+from loglark.streaming.windows import start_windowed_orders, window_view
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -242,6 +243,21 @@ def _stream_counters(spark, d, replay: bool):
     return sc.hash_counter_view(spark, deltas)
 
 
+STREAM_WATERMARK = "31 days"  # covers the disorder of the derived order files
+
+
+def q_stream_windows_tumbling(spark, d):
+    """X7 as a stream: hourly windows over the order files (one file per
+    micro-batch), update mode, latest update per window read back."""
+    root = new_scratch(spark, "stream-windows")
+    order_records(spark, d)
+    src = materialized_path(spark, d, "order-json")
+    q = start_windowed_orders(order_stream_from_files(spark, src, max_files_per_trigger=1), root + "/out",
+                              root + "/checkpoint", "1 hour", watermark=STREAM_WATERMARK, available_now=True)
+    q.awaitTermination()
+    return window_view(spark, root + "/out")
+
+
 def q_stream_counters_files(spark, d):
     return _stream_counters(spark, d, replay=False)
 
@@ -476,6 +492,7 @@ QUERIES: dict[str, QueryFn] = {
     "orders_window_tumbling": q_orders_window_tumbling,
     "orders_window_sliding": q_orders_window_sliding,
     "stream_counters_files": q_stream_counters_files,
+    "stream_windows_tumbling": q_stream_windows_tumbling,
     "stream_counters_replay": q_stream_counters_replay,
     "access_parse": q_access_parse,
     "access_formattime": q_access_formattime,

@@ -199,6 +199,7 @@ ORACLE: dict[str, str] = {
     "orders_window_tumbling": _WINDOW_TUMBLING,
     "orders_window_sliding": _WINDOW_SLIDING,
     "stream_counters_files": _HASH_COUNTERS,
+    "stream_windows_tumbling": _WINDOW_TUMBLING,
     "stream_counters_replay": _HASH_COUNTERS,
     "access_parse": f"WITH {_A} SELECT ip, time, method, url, protocal, status, bytessent, referer, ua FROM G",
     "access_formattime": f"WITH {_A} SELECT time, formattime FROM G",
