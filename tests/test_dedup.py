@@ -1,6 +1,5 @@
 """Latest row per key (W1, M2) incl. a hot key holding a third of all rows."""
 
-from pyspark.sql import functions as F
 
 from loglark.operators.dedup import latest_per_key
 

@@ -1,6 +1,5 @@
 """Exactly-once counters and windows over file streams."""
 
-import time
 
 from conftest import rows
 from loglark.session import new_scratch
