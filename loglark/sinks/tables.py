@@ -25,7 +25,8 @@ def replace_day(rows: DataFrame, table_path: str, day: str) -> None:
     rows.write.mode("overwrite").parquet(day_path(table_path, day))
 
 
-def replace_days(rows: DataFrame, table_path: str, days: Iterable[str] | None = None) -> list[str]:
+def replace_days(rows: DataFrame, table_path: str, days: Iterable[str] | None = None,
+                 rebalance: bool = True) -> list[str]:
     """Backfill of many days in one job (dynamic partition overwrite).
 
     The days that received rows are observed during the write itself (a
@@ -33,8 +34,16 @@ def replace_days(rows: DataFrame, table_path: str, days: Iterable[str] | None =
     is computed once.  Days listed in ``days`` that got no rows are then
     cleared, as a rerun of an empty day must leave it empty.  Returns the
     days written.
+
+    ``rebalance`` adds a ``REBALANCE(day)`` exchange: rows arrive hash
+    partitioned on other keys, so without it every task writes a file into
+    every day (tasks x days small files).  AQE sizes the rebalanced
+    partitions to the advisory size and splits a day that is much larger
+    than the others, so a hot day is written by many tasks.
     """
     target = rows if days is None else rows.where(F.col("day").isin(sorted(set(days))))
+    if rebalance:
+        target = target.hint("rebalance", "day")
     obs = Observation("days_written")
     (target.observe(obs, F.collect_set("day").alias("days"))
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
