@@ -66,7 +66,9 @@ def run_access_etl(spark: SparkSession, input_path: str | list[str], table_path:
     """
     lines = read_access_log(spark, input_path)
     table = access_table(lines, geo, day, key_algo, zone)
-    bad = quarantined(parse_lines(lines, zone=zone, keep_line=True))
+    # bad lines are few and spread over every input split: rebalance them into
+    # advisory-sized files instead of one small file per split
+    bad = quarantined(parse_lines(lines, zone=zone, keep_line=True)).hint("rebalance")
     qpath = table_path.rstrip("/") + "_quarantine"
     if day is not None:
         replace_day(table.drop("day"), table_path, day)
