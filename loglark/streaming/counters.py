@@ -40,7 +40,7 @@ class OrderCounterSink:
             # one row per minute the batch spans: a single file per batch
             deltas.coalesce(1).write.mode("overwrite").parquet(f"{self.delta_path}/batch_id={batch_id}")
             if self.quarantine_path:
-                (quarantined_orders(parsed).write.mode("overwrite")
+                (quarantined_orders(parsed).hint("rebalance").write.mode("overwrite")
                     .parquet(f"{self.quarantine_path}/batch_id={batch_id}"))
         finally:
             if self.quarantine_path:
