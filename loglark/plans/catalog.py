@@ -361,7 +361,7 @@ def q_cells_latest_version(spark, d):
 
 
 def q_cells_pivot_back(spark, d):
-    return kv.cells_to_wide(kv.latest_cells(access_cells_all_versions(spark, d)), STORED_FIELDS, "o")
+    return kv.latest_wide(access_cells_all_versions(spark, d), STORED_FIELDS, "o")
 
 
 def q_kv_get(spark, d):

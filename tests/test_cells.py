@@ -63,3 +63,13 @@ def test_sorted_store_pushdown(spark, cells):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(rowkey,row-b)" in plan
     assert q.count() == 6
+
+
+def test_latest_wide_equals_latest_then_pivot(spark, cells):
+    updated = kv.update_cell(spark, cells, "row-b", "info", "age", "21", 2)
+    updated = kv.update_cell(spark, updated, "row-a", "info", "company", "zeta", 1)  # a tie on ts: max value
+    cols = ["age", "birthday", "company"]
+    a = rows(kv.latest_wide(updated, cols, "info"))
+    b = rows(kv.cells_to_wide(kv.latest_cells(updated), cols, "info"))
+    assert a == b
+    assert ("row-b", "21", "1998-02-02", "acme") in a and ("row-a", "18", "2000-01-01", "zeta") in a
