@@ -57,6 +57,7 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--topic")
         c.add_argument("--checkpoint", required=True)
         c.add_argument("--max-offsets", type=int, help="records per trigger (Kafka)")
+        c.add_argument("--min-partitions", type=int, help="split Kafka partitions into at least this many tasks")
         c.add_argument("--interval", default="5 seconds")
         c.add_argument("--available-now", action="store_true", help="process what exists, then stop")
         if name == "counters":
@@ -78,7 +79,8 @@ def _parser() -> argparse.ArgumentParser:
 def _stream_source(spark: SparkSession, args):
     if args.files:
         return order_stream_from_files(spark, args.files)
-    return order_stream_from_kafka(spark, args.kafka, args.topic, max_offsets=args.max_offsets)
+    return order_stream_from_kafka(spark, args.kafka, args.topic, max_offsets=args.max_offsets,
+                                   min_partitions=args.min_partitions)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

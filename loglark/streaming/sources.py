@@ -24,13 +24,20 @@ def order_stream_from_files(spark: SparkSession, path: str, max_files_per_trigge
 
 
 def order_stream_from_kafka(spark: SparkSession, bootstrap: str, topics: str,
-                            starting_offsets: str = "latest", max_offsets: int | None = None) -> DataFrame:
+                            starting_offsets: str = "latest", max_offsets: int | None = None,
+                            min_partitions: int | None = None) -> DataFrame:
     """Subscribe to ``topics``; ``latest`` applies on the first start
-    only, afterwards the checkpoint decides where to resume."""
+    only, afterwards the checkpoint decides where to resume.
+
+    ``min_partitions`` lets Spark cut a topic partition's offset range into
+    several tasks, so one hot Kafka partition does not become one task.
+    """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap)
               .option("subscribe", topics)
               .option("startingOffsets", starting_offsets))
     if max_offsets:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load().selectExpr("CAST(value AS STRING) AS value")
