@@ -68,6 +68,7 @@ def _parser() -> argparse.ArgumentParser:
             c.add_argument("--size", default="1 hour")
             c.add_argument("--slide")
             c.add_argument("--watermark", default="10 minutes")
+            c.add_argument("--state-partitions", type=int, help="state store partitions (first start only)")
 
     r = sub.add_parser("products", help="'name price store' lines -> ranked by price, then stock")
     r.add_argument("--input", required=True)
@@ -107,7 +108,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
                                      processing_time=args.interval, available_now=args.available_now)
         else:
             q = start_windowed_orders(records, args.out, args.checkpoint, args.size, args.slide, args.watermark,
-                                      available_now=args.available_now, processing_time=args.interval)
+                                      available_now=args.available_now, processing_time=args.interval,
+                                      state_partitions=args.state_partitions)
         q.awaitTermination()
 
     elif args.job == "products":

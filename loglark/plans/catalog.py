@@ -244,6 +244,7 @@ def _stream_counters(spark, d, replay: bool):
 
 
 STREAM_WATERMARK = "31 days"  # covers the disorder of the derived order files
+STREAM_STATE_PARTITIONS = 4  # window state: one row per open window
 
 
 def q_stream_windows_tumbling(spark, d):
@@ -253,7 +254,8 @@ def q_stream_windows_tumbling(spark, d):
     order_records(spark, d)
     src = materialized_path(spark, d, "order-json")
     q = start_windowed_orders(order_stream_from_files(spark, src, max_files_per_trigger=1), root + "/out",
-                              root + "/checkpoint", "1 hour", watermark=STREAM_WATERMARK, available_now=True)
+                              root + "/checkpoint", "1 hour", watermark=STREAM_WATERMARK, available_now=True,
+                              state_partitions=STREAM_STATE_PARTITIONS)
     q.awaitTermination()
     return window_view(spark, root + "/out")
 

@@ -68,14 +68,30 @@ class WindowUpdateSink:
 
 def start_windowed_orders(records: DataFrame, out_path: str, checkpoint: str, size: str,
                           slide: str | None = None, watermark: str = "10 minutes",
-                          available_now: bool = False, processing_time: str = "5 seconds") -> StreamingQuery:
+                          available_now: bool = False, processing_time: str = "5 seconds",
+                          state_partitions: int | None = None) -> StreamingQuery:
     """X7 as a running query: update mode, each batch's changed windows stored
     under its batch id.  Window state is one row per open window, so the
-    watermark can be as wide as the input's disorder at little cost."""
+    watermark can be as wide as the input's disorder at little cost.
+
+    ``state_partitions`` sizes the state store for this query only: the
+    state is per window, not per order, and only per-window partial
+    aggregates reach it, so it needs few partitions whatever the volume.
+    The query copies the session conf when it starts and keeps the count in
+    its checkpoint, so the setting is applied around ``start()`` only.
+    """
     w = (windowed_orders(records, size, slide, watermark).writeStream.outputMode("update")
          .foreachBatch(WindowUpdateSink(out_path)).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    conf = records.sparkSession.conf
+    old = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", old)
 
 
 def window_view(spark: SparkSession, out_path: str) -> DataFrame:

@@ -78,3 +78,18 @@ def test_windowed_stream(spark):
 
 def test_rate_conversion():
     assert max_offsets_per_trigger(100, 5, 3) == 1500
+
+
+def test_windowed_stream_update_sink(spark):
+    from loglark.streaming.windows import start_windowed_orders, window_view
+    root = new_scratch(spark, "test-window-sink")
+    _write_files(spark, root + "/src", [[r] for r in RECORDS])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = start_windowed_orders(order_stream_from_files(spark, root + "/src/*", max_files_per_trigger=1),
+                              root + "/out", root + "/ckpt", "1 hour", watermark="2 days", available_now=True,
+                              state_partitions=2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before  # set around start() only
+    q.awaitTermination()
+    got = rows(window_view(spark, root + "/out"), "window_start", "total", "success", "fee")
+    assert got == [("2019-01-30 12:00:00", 3, 1, 100), ("2019-01-30 13:00:00", 1, 1, 20),
+                   ("2019-01-31 00:00:00", 2, 0, 0)]
