@@ -37,9 +37,14 @@ def wall_clock(instant: Column, zone: str = DEFAULT_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_ntz)
 
 
+def format_instant(instant: Column, zone: str = DEFAULT_ZONE) -> Column:
+    """yyyyMMddHHmm of an instant in ``zone``."""
+    return F.date_format(wall_clock(instant, zone), MINUTE_PATTERN)
+
+
 def format_time(time_col: Column, zone: str = DEFAULT_ZONE) -> Column:
     """``formattime``: yyyyMMddHHmm of the log time in ``zone`` (M5)."""
-    return F.date_format(wall_clock(parse_log_time(time_col), zone), MINUTE_PATTERN)
+    return format_instant(parse_log_time(time_col), zone)
 
 
 def render_log_time(ts_ntz: Column, offset: str = "+0800") -> Column:

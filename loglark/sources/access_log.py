@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglark.functions.timefmt import DEFAULT_ZONE, format_time, parse_log_time
+from loglark.functions.timefmt import DEFAULT_ZONE, format_instant, parse_log_time
 
 LINE_PATTERN = (
     r'^\S+ \S+ \S+ \[[^\]]*\] "\S+ \S+ \S+" \S+ \S+ "[^"]*" "[^"]*" \S+ "[^"]*" "[^"]*"( .*)?$'
@@ -72,7 +72,7 @@ def parse_lines(lines: DataFrame, value_col: str = "value", zone: str = DEFAULT_
         ok.alias("_ok"),
     )
     out = out.withColumn("time_ts", parse_log_time(F.col("time")))
-    out = out.withColumn("formattime", format_time(F.col("time"), zone))
+    out = out.withColumn("formattime", format_instant(F.col("time_ts"), zone))
     reason = (
         F.when(~F.col("_ok"), F.lit(REASON_UNPARSABLE))
         .when(F.col("time_ts").isNull(), F.lit(REASON_BAD_TIME))
