@@ -44,22 +44,35 @@ def overlapping_ranges(geo: DataFrame) -> DataFrame:
 
 
 def enrich_geo(df: DataFrame, geo: DataFrame, ip_col: str = "ip",
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, validate: bool = False) -> DataFrame:
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS, validate: bool = False,
+               salt: int = 8) -> DataFrame:
     """Add ``country, province, city`` to ``df`` from ``geo`` ranges.
 
     Existing geo columns of ``df`` are replaced.  ``validate=True`` first
     raises if two ranges overlap (an ip would otherwise match twice).
+
+    Beyond the broadcast limit the join shuffles on the bucket, salted: each
+    log row takes one of ``salt`` values from its position (deterministic on a
+    re-read of the same input), each bucket row is repeated once per salt
+    value, and the join key is (bucket, salt).  A /16 holding a third of all
+    rows is then spread over ``salt`` partitions instead of landing in one.
     """
     if validate and overlapping_ranges(geo).limit(1).count() > 0:
         raise ValueError("geo ranges overlap")
     buckets = bucketize_ranges(geo)
-    buckets, _ = broadcast_if_small(buckets, broadcast_rows)
+    buckets, small = broadcast_if_small(buckets, broadcast_rows)
     left = df.drop(*[c for c in GEO_COLS if c in df.columns])
     left = left.withColumn("_ipn", ip_to_long(F.col(ip_col))).withColumn("_ipb", F.floor(F.col("_ipn") / BUCKET))
+    salted = not small and salt > 1
+    if salted:
+        left = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt)))
+        buckets = buckets.withColumn("_gsalt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     g = buckets.alias("_g")
     cond = (F.col("_ipb") == F.col("_g._bucket")) & F.col("_ipn").between(F.col("_g.lo"), F.col("_g.hi"))
+    if salted:
+        cond = cond & (F.col("_salt") == F.col("_g._gsalt"))
     joined = left.join(g, cond, "left")
-    keep = [F.col(c) for c in left.columns if c not in ("_ipn", "_ipb")]
+    keep = [F.col(c) for c in left.columns if c not in ("_ipn", "_ipb", "_salt")]
     return joined.select(*keep, *[F.col("_g." + c).alias(c) for c in GEO_COLS])
 
 

@@ -1,6 +1,7 @@
 """IP range join (FIXTURES §4, J1)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from loglark.operators.geo import enrich_geo, enrich_geo_nested_loop, overlapping_ranges
 from loglark.schemas import GEO_RANGE
@@ -54,3 +55,22 @@ def test_overlap_check(spark, geo):
     assert overlapping_ranges(bad).count() == 1
     with pytest.raises(ValueError):
         enrich_geo(spark.createDataFrame([("1.1.1.1",)], "ip string"), bad, validate=True)
+
+
+def test_hot_bucket_is_salted_on_the_shuffle_path(spark, geo):
+    """A third of all rows in one /16 bucket and the geo table not broadcast:
+    the join key is (bucket, salt), so the hot bucket spreads over the salt
+    values; every row keeps exactly its match."""
+    hot = [(i, ip(21 * A + (i % 50))) for i in range(30000)]           # one bucket, a third of the rows
+    rest = [(30000 + i, ip(20 * A + (i * 7919) % (3 * A))) for i in range(60000)]
+    df = spark.createDataFrame(hot + rest, "i int, ip string").repartition(8)
+    out = enrich_geo(df, geo, broadcast_rows=0, salt=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan and "BroadcastExchange" not in plan
+    got = {r["city"]: r["count"] for r in out.groupBy("city").count().collect()}
+    assert got == {"wide": 90000}
+    assert out.count() == 90000
+    # the hot bucket's rows are spread over all salt values
+    salts = (df.withColumn("s", F.pmod(F.monotonically_increasing_id(), F.lit(8))).where(F.col("i") < 30000)
+               .select("s").distinct().count())
+    assert salts == 8
