@@ -56,6 +56,8 @@ def enrich_geo(df: DataFrame, geo: DataFrame, ip_col: str = "ip",
     re-read of the same input), each bucket row is repeated once per salt
     value, and the join key is (bucket, salt).  A /16 holding a third of all
     rows is then spread over ``salt`` partitions instead of landing in one.
+    The salt only steers placement: every salt copy of a bucket row is the
+    same, so the result does not depend on which salt a row drew.
     """
     if validate and overlapping_ranges(geo).limit(1).count() > 0:
         raise ValueError("geo ranges overlap")
