@@ -109,18 +109,27 @@ def get_row(cells: DataFrame, rowkey: str, family: str | None = None,
 
 
 def get_rows(cells: DataFrame, keys: DataFrame, max_keys: int = 1_000_000,
-             single_row: bool = False) -> DataFrame:
+             single_row: bool = False, salt: int = 8) -> DataFrame:
     """F1 for many keys at once: a semi join with a frame of row keys.
 
     The key frame is broadcast only after its size is checked, unless the
     caller passes ``single_row=True`` for a frame that has one row by
-    construction (a global aggregate), whose bound needs no count.
+    construction (a global aggregate), whose bound needs no count.  Beyond
+    the limit the join shuffles on (rowkey, salt) with the keys repeated once
+    per salt value, so a row holding a third of all cells is spread over
+    ``salt`` partitions; the salt only steers placement, not the result.
     """
     from loglark.operators.sizing import broadcast_if_small
 
     k = keys.select("rowkey").distinct()
-    k = F.broadcast(k) if single_row else broadcast_if_small(k, max_keys)[0]
-    return cells.join(k, "rowkey", "left_semi")
+    if single_row:
+        return cells.join(F.broadcast(k), "rowkey", "left_semi")
+    k, small = broadcast_if_small(k, max_keys)
+    if small or salt <= 1:
+        return cells.join(k, "rowkey", "left_semi")
+    c = cells.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt)))
+    ks = k.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return c.join(ks, ["rowkey", "_salt"], "left_semi").drop("_salt")
 
 
 def scan_column(cells: DataFrame, family: str, qualifier: str) -> DataFrame:

@@ -73,3 +73,13 @@ def test_latest_wide_equals_latest_then_pivot(spark, cells):
     b = rows(kv.cells_to_wide(kv.latest_cells(updated), cols, "info"))
     assert a == b
     assert ("row-b", "21", "1998-02-02", "acme") in a and ("row-a", "18", "2000-01-01", "zeta") in a
+
+
+def test_get_rows_salted_shuffle_path(spark, cells):
+    hot = spark.createDataFrame([("row-a", "info", f"q{i}", str(i), 1) for i in range(600)],
+                                "rowkey string, family string, qualifier string, value string, ts long")
+    big = kv.put(cells, hot)
+    keys = spark.createDataFrame([("row-a",)], "rowkey string")
+    a = rows(kv.get_rows(big, keys))
+    b = rows(kv.get_rows(big, keys, max_keys=0))  # shuffle path, salted
+    assert a == b and len(a) == 606
