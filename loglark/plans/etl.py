@@ -9,6 +9,8 @@ aggregation first.  Quarantined lines are written next to the table.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +18,12 @@ from loglark.functions.rowkey import access_rowkey
 from loglark.functions.timefmt import DEFAULT_ZONE
 from loglark.functions.useragent import with_agent_columns
 from loglark.operators.dedup import latest_per_key
-from loglark.operators.geo import enrich_geo
+from loglark.operators.geo import enrich_geo, overlapping_ranges
 from loglark.operators.sizing import DEFAULT_BROADCAST_ROWS
 from loglark.schemas import STORED_FIELDS
-from loglark.sinks.tables import replace_day, replace_days
-from loglark.sources.access_log import good_rows, parse_lines, quarantined, read_access_log
+from loglark.session import new_scratch
+from loglark.sinks.tables import replace_day, replace_days, table_exists
+from loglark.sources.access_log import good_rows, parse_lines, read_access_log
 
 
 def clean_access(parsed: DataFrame, geo: DataFrame, day: str | None = None, key_algo: str = "crc32",
@@ -53,26 +56,62 @@ def access_table(lines: DataFrame, geo: DataFrame, day: str | None = None, key_a
     return stored_rows(clean_access(parsed, geo, day, key_algo, broadcast_rows))
 
 
+def staged_lines(lines: DataFrame, zone: str = DEFAULT_ZONE) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad rows with their line) after one pass over the raw text:
+    the parse is written once to the shared scratch folder, split by outcome,
+    and both outputs read their part of it."""
+    spark = lines.sparkSession
+    parsed = parse_lines(lines, zone=zone, keep_line=True)
+    path = new_scratch(spark, "access-staged")
+    bad = F.col("_reason").isNotNull()
+    staged = parsed.withColumn("line", F.when(bad, F.col("line"))).withColumn("_bad", bad.cast("int"))
+    staged.write.partitionBy("_bad").parquet(path)
+    back = spark.read.schema(staged.schema).parquet(path)
+    return back.where("_bad = 0").drop("_bad", "line", "_reason"), back.where("_bad = 1").drop("_bad")
+
+
 def run_access_etl(spark: SparkSession, input_path: str | list[str], table_path: str, day: str | None,
-                   geo: DataFrame, key_algo: str = "crc32", zone: str = DEFAULT_ZONE) -> None:
-    """The daily batch job.
+                   geo: DataFrame, key_algo: str = "crc32", zone: str = DEFAULT_ZONE,
+                   days: Iterable[str] | None = None) -> None:
+    """The batch job.
 
     With ``day`` (the job argument, M6): that day's files become
     ``<table>/day=<day>``, replaced as a whole, and quarantined lines go to
-    ``<table>_quarantine/day=<day>``.  With ``day=None`` (backfill) every
-    record goes to its own day and all days present are replaced.
+    ``<table>_quarantine/day=<day>``.
+
+    A backfill (``day=None``) gives every record its own day and replaces only
+    the ``days`` it lists.  Records of other days (log files roll over at midnight, so
+    a day's files hold stragglers) go to ``<table>_other_days/run=<first>-<last>`` and no
+    stored day changes.  Bad lines go to their own day's quarantine if the day
+    is listed, else to ``day=unlisted-<first>-<last>``.  Without ``days`` the backfill is
+    a first load of all days present and refuses a table that exists.
 
-    The input is read twice (two outputs) instead of caching a whole day.
+    The raw text is read and parsed once.
     """
-    lines = read_access_log(spark, input_path)
-    table = access_table(lines, geo, day, key_algo, zone)
+    if overlapping_ranges(geo).limit(1).count() > 0:
+        raise ValueError("geo ranges overlap")
+    if day is None and days is None and table_exists(spark, table_path):
+        raise ValueError("the table exists: list the days that the backfill replaces")
+    good, bad = staged_lines(read_access_log(spark, input_path), zone)
+    table = stored_rows(clean_access(good, geo, day, key_algo))
     # bad lines are few and spread over every input split: rebalance them into
     # advisory-sized files instead of one small file per split
-    bad = quarantined(parse_lines(lines, zone=zone, keep_line=True)).hint("rebalance")
-    qpath = table_path.rstrip("/") + "_quarantine"
+    lines = bad.select(F.col("_reason").alias("reason"), "line", "formattime").hint("rebalance")
+    root = table_path.rstrip("/")
     if day is not None:
-        replace_day(table.drop("day"), table_path, day)
-        replace_day(bad, qpath, day)
+        replace_day(table.drop("day"), root, day)
+        replace_day(lines.drop("formattime"), root + "_quarantine", day)
         return
-    replace_days(table, table_path)
-    bad.write.mode("overwrite").parquet(qpath)
+    own_day = F.substring(F.col("formattime"), 1, 8)
+    if days is None:
+        replace_days(table, root)
+        bad_day, bad_days, run = F.coalesce(own_day, F.lit("unknown")), None, None
+    else:
+        listed = sorted(set(days))
+        run = f"{listed[0]}-{listed[-1]}"
+        replace_days(table, root, listed)
+        other = table.where(~F.col("day").isin(listed)).hint("rebalance")
+        other.write.mode("overwrite").parquet(f"{root}_other_days/run={run}")
+        bad_day = F.when(own_day.isin(listed), own_day).otherwise(F.lit(f"unlisted-{run}"))
+        bad_days = [*listed, f"unlisted-{run}"]
+    replace_days(lines.withColumn("day", bad_day).drop("formattime"), root + "_quarantine", bad_days)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,14 +66,25 @@ def read_day_table(spark: SparkSession, table_path: str, schema: T.StructType,
     return df
 
 
+def table_exists(spark: SparkSession, table_path: str) -> bool:
+    try:
+        spark.read.schema("day string").parquet(table_path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def write_sorted_cells(cells: DataFrame, path: str, partitions: int | None = None,
                        mode: str = "overwrite") -> None:
-    """K3: cells range-partitioned and sorted by (rowkey, family, qualifier).
+    """K3: cells range-partitioned and sorted by (rowkey, family, qualifier, ts),
+    so the versions of one hot cell spread over files too.
 
     Each file covers one key range in order, so Parquet min/max statistics let
     point, range and prefix reads skip row groups and files.
     """
     n = partitions or int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (cells.repartitionByRange(n, "rowkey", "family", "qualifier")
+    (cells.repartitionByRange(n, "rowkey", "family", "qualifier", "ts")
           .sortWithinPartitions("rowkey", "family", "qualifier", "ts")
           .write.mode(mode).parquet(path))

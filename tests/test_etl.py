@@ -1,5 +1,6 @@
 """The daily ETL job end to end."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from loglark.plans.etl import run_access_etl
@@ -20,7 +21,7 @@ def test_daily_job_and_rerun(spark):
     assert t.select("day").distinct().collect()[0]["day"] == "20190130"
     assert t.where(F.col("country") != "CN").count() == 0
     # 'normal', 'upstream_dashes' and the later copy share referer+url+ip+ua: one row, latest time, 3 hits
-    key = t.where((F.col("url") == "/course/list?c=cb") & (F.col("referer") == "https://www.example.com/")
+    key = t.where((F.col("url") == "/shop/items?page=3") & (F.col("referer") == "https://www.example.com/")
                   & (F.col("browsername") == "Chrome"))
     r = key.collect()
     assert len(r) == 1 and r[0]["formattime"] == "201901300005" and r[0]["hits"] == 3
@@ -30,3 +31,38 @@ def test_daily_job_and_rerun(spark):
     first = sorted(map(tuple, t.collect()))
     run_access_etl(spark, root + "/in/20190130/*", table, "20190130", geo)  # rerun: same table
     assert sorted(map(tuple, read_day_table(spark, table, ACCESS_TABLE_WITH_DAY).collect())) == first
+
+
+def _lines(spark, path, lines):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+
+
+def test_backfill_keeps_other_days_and_their_quarantine(spark):
+    root = new_scratch(spark, "test-backfill")
+    geo = spark.createDataFrame([(16909056, 16909311, "CN", "BJ", "BJ")], GEO_RANGE)
+    first = [line(ip=f"1.2.3.{i}", time="30/Jan/2019:12:00:00 +0800") for i in range(50)] + ["not a line"]
+    second = [line(ip=f"1.2.4.{i}", time="31/Jan/2019:12:00:00 +0800") for i in range(7)]
+    second += [line(ip="1.2.3.99", time="30/Jan/2019:23:59:59 +0800"), "junk", line(time="31/Jan/2019:01:00:00 +0800", status="OK")]
+    _lines(spark, root + "/in/1", first)
+    _lines(spark, root + "/in/2", second)
+    table = root + "/access"
+    run_access_etl(spark, root + "/in/1", table, "20190130", geo, "md5")
+    for _ in range(2):  # a repeated backfill changes nothing more
+        run_access_etl(spark, root + "/in/2", table, None, geo, "md5", days=["20190131"])
+    days = {r["day"]: r["count"] for r in read_day_table(spark, table, ACCESS_TABLE_WITH_DAY).groupBy("day").count().collect()}
+    assert days == {"20190130": 50, "20190131": 7}
+    assert spark.read.parquet(table + "_other_days").count() == 1  # the straggler
+    run_access_etl(spark, root + "/in/1", table, "20190130", geo, "md5")
+    bad = {r["day"]: r["count"] for r in spark.read.schema("reason string, line string, day string")
+           .parquet(table + "_quarantine").groupBy("day").count().collect()}
+    assert bad == {"20190130": 1, "20190131": 1, "unlisted-20190131-20190131": 1}
+    with pytest.raises(ValueError):
+        run_access_etl(spark, root + "/in/2", table, None, geo, "md5")  # an existing table needs listed days
+
+
+def test_overlapping_geo_ranges_stop_the_job(spark):
+    root = new_scratch(spark, "test-overlap")
+    _lines(spark, root + "/in", [line()])
+    geo = spark.createDataFrame([(16909056, 16909311, "CN", "BJ", "BJ"), (16909300, 16909400, "CN", "SH", "SH")], GEO_RANGE)
+    with pytest.raises(ValueError):
+        run_access_etl(spark, root + "/in", root + "/t", "20190130", geo)
