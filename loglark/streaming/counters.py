@@ -37,8 +37,8 @@ class OrderCounterSink:
             parsed = parsed.persist()  # X6: one parse feeds two outputs
         try:
             deltas = metrics_by(order_facts(parsed), "day", "hour", "minute")
-            # one row per minute the batch spans: a single file per batch
-            deltas.coalesce(1).write.mode("overwrite").parquet(f"{self.delta_path}/batch_id={batch_id}")
+            # one row per minute the batch spans; the aggregate keeps its tasks
+            deltas.write.mode("overwrite").parquet(f"{self.delta_path}/batch_id={batch_id}")
             if self.quarantine_path:
                 (quarantined_orders(parsed).hint("rebalance").write.mode("overwrite")
                     .parquet(f"{self.quarantine_path}/batch_id={batch_id}"))
@@ -61,9 +61,14 @@ def read_deltas(spark: SparkSession, delta_path: str) -> DataFrame:
     return spark.read.schema(DELTA_WITH_BATCH).parquet(delta_path)
 
 
+def compaction_path(delta_path: str) -> str:
+    """Where the folded deltas of a delta folder are kept."""
+    return delta_path.rstrip("/") + "_compacted"
+
+
 def minute_totals(spark: SparkSession, delta_path: str) -> DataFrame:
-    """Running totals at minute grain: the sum of all batch deltas."""
-    return metrics_by(read_deltas(spark, delta_path), "day", "hour", "minute")
+    """Running totals at minute grain: the latest compaction plus all later deltas."""
+    return minute_totals_compacted(spark, delta_path, compaction_path(delta_path))
 
 
 def hash_counter_view(spark: SparkSession, delta_path: str, prefix: str = "orders-") -> DataFrame:
@@ -74,30 +79,38 @@ def hash_counter_view(spark: SparkSession, delta_path: str, prefix: str = "order
 def string_counter_view(spark: SparkSession, delta_path: str, count_prefix: str = "paid-count-",
                         fee_prefix: str = "paid-fee-") -> DataFrame:
     """K5 read view: ``(key, value)`` like ``incrBy`` would have left."""
-    daily = metrics_by(read_deltas(spark, delta_path), "day")
+    daily = metrics_by(minute_totals(spark, delta_path), "day")
     return string_counters(daily, count_prefix, fee_prefix)
 
 
-COMPACT_SCHEMA = T.StructType(ORDER_DELTA.fields + [T.StructField("upto", T.LongType())])
+def committed(spark: SparkSession, root: str, key: str) -> list[int]:
+    """The numbers n of the folders ``<root>/<key>=<n>`` whose write has ended
+    (they hold ``_SUCCESS``).  A folder that cannot be listed raises."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [(s.getPath(), s.getPath().getName()) for s in fs.listStatus(path)]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(n.split("=", 1)[1]) for p, n in names if n.startswith(key + "=") and fs.exists(done(p, "_SUCCESS")))
 
 
 def latest_compaction(spark: SparkSession, compact_path: str) -> int | None:
-    """Highest batch id folded so far (from the ``upto=<id>`` partitions)."""
-    try:
-        comp = spark.read.schema(COMPACT_SCHEMA).parquet(compact_path)
-        return comp.agg(F.max("upto").alias("u")).first()["u"]
-    except Exception:  # noqa: BLE001 - nothing compacted yet
-        return None
+    """Highest batch id folded so far: the last ``upto=<id>`` whose write has
+    ended, None if there is none.  Its content is not read here, so a damaged
+    compaction fails the read that needs it instead of counting as absent."""
+    return max(committed(spark, compact_path, "upto"), default=None)
 
 
-def compact_deltas(spark: SparkSession, delta_path: str, upto_batch: int, compact_path: str) -> None:
+def compact_deltas(spark: SparkSession, delta_path: str, upto_batch: int, compact_path: str | None = None) -> None:
     """Fold finished batches ``<= upto_batch`` into ``<compact_path>/upto=<id>``.
 
     Incremental: the previous compaction (``upto=M``) plus the deltas of
     batches in ``(M, upto_batch]``, so delta directories at or below M may
-    already have been removed.  Readers use the highest ``upto`` and only the
-    deltas above it, so a replayed old batch can never count twice.
+    already have been removed.  Readers use the highest finished ``upto`` and
+    only the deltas above it, so a replayed old batch can never count twice.
     """
+    compact_path = compact_path or compaction_path(delta_path)
     prev = latest_compaction(spark, compact_path)
     if prev is not None and prev >= upto_batch:
         return
@@ -117,7 +130,7 @@ def minute_totals_compacted(spark: SparkSession, delta_path: str, compact_path:
     """Running minute totals = latest compaction + deltas of later batches."""
     upto = latest_compaction(spark, compact_path) if upto_batch is None else upto_batch
     if upto is None:
-        return minute_totals(spark, delta_path)
+        return metrics_by(read_deltas(spark, delta_path), "day", "hour", "minute")
     base = spark.read.schema(ORDER_DELTA).parquet(f"{compact_path.rstrip('/')}/upto={upto}")
     rest = read_deltas(spark, delta_path).where(F.col("batch_id") > upto).drop("batch_id")
     return metrics_by(base.unionByName(rest), "day", "hour", "minute")

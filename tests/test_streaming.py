@@ -93,3 +93,32 @@ def test_windowed_stream_update_sink(spark):
     got = rows(window_view(spark, root + "/out"), "window_start", "total", "success", "fee")
     assert got == [("2019-01-30 12:00:00", 3, 1, 100), ("2019-01-30 13:00:00", 1, 1, 20),
                    ("2019-01-31 00:00:00", 2, 0, 0)]
+
+
+def test_views_read_the_compaction_and_damage_is_an_error(spark):
+    import pytest
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    root = new_scratch(spark, "test-compact-views")
+    sink = sc.OrderCounterSink(root + "/deltas")
+    for i, r in enumerate(RECORDS):
+        sink(spark.createDataFrame([(r,)], "value string"), i)
+    before = _counters(spark, root + "/deltas")
+    sc.compact_deltas(spark, root + "/deltas", 3)
+    assert _counters(spark, root + "/deltas") == before
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i in range(4):  # folded deltas may go
+        fs.delete(path(f"{root}/deltas/batch_id={i}"), True)
+    assert _counters(spark, root + "/deltas") == before
+    # a compaction without its end mark does not count, a damaged one raises
+    fs.mkdirs(path(root + "/deltas_compacted/upto=99"))
+    assert sc.latest_compaction(spark, root + "/deltas_compacted") == 3
+    for f in fs.listStatus(path(root + "/deltas_compacted/upto=3")):
+        if f.getPath().getName().endswith(".parquet"):
+            out = fs.create(f.getPath(), True)
+            out.writeBytes("not parquet")
+            out.close()
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        sc.compact_deltas(spark, root + "/deltas", 5)
