@@ -26,16 +26,20 @@ _CORRUPT = "_corrupt_record"
 
 
 def parse_order_json(records: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text -> the six string fields + ``_reason`` (NULL when good).
+    """JSON text -> the six string fields, ``_reason`` (NULL when good) and
+    ``_raw`` (the record's text when it is bad).
 
     One parse per record: a text that is not a JSON object comes back with
-    the corrupt-record field set (or as a NULL struct when empty).
+    the corrupt-record field set (or as a NULL struct when empty).  Rows leave
+    through a one-row generator, so that a filter on ``_reason`` is not pushed
+    below the parse, which would repeat it once per field.
     """
     text = F.col(value_col).cast("string")
     schema = T.StructType(ORDER_EVENT.fields + [T.StructField(_CORRUPT, T.StringType())])
     obj = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    df = records.select(obj.alias("_o")).select(
-        (F.col("_o").isNull() | F.col(f"_o.{_CORRUPT}").isNotNull()).alias("_bad_json"),
+    df = records.select(text.alias("_text"), obj.alias("_o"))
+    df = df.select(F.inline(F.array(F.struct("_text", "_o")))).select(
+        "_text", (F.col("_o").isNull() | F.col(f"_o.{_CORRUPT}").isNotNull()).alias("_bad_json"),
         *[F.col("_o." + f.name).alias(f.name) for f in ORDER_EVENT.fields])
     paid = F.col("flag").eqNullSafe("1")
     fee_num = F.col("fee").try_cast("bigint")
@@ -44,7 +48,8 @@ def parse_order_json(records: DataFrame, value_col: str = "value") -> DataFrame:
         .when(order_event_time(F.col("time")).isNull(), F.lit(REASON_BAD_TIME))
         .when(paid & fee_num.isNull(), F.lit(REASON_BAD_FEE))
     )
-    return df.withColumn("_reason", reason).drop("_bad_json")
+    df = df.withColumn("_reason", reason)
+    return df.withColumn("_raw", F.when(F.col("_reason").isNotNull(), F.col("_text"))).drop("_bad_json", "_text")
 
 
 def order_facts(parsed: DataFrame) -> DataFrame:
@@ -62,6 +67,7 @@ def order_facts(parsed: DataFrame) -> DataFrame:
     )
 
 
-def quarantined_orders(parsed: DataFrame, value_col: str | None = None) -> DataFrame:
-    cols = [F.col("_reason").alias("reason"), "time", "orderid", "fee", "flag"]
-    return parsed.where(F.col("_reason").isNotNull()).select(*cols)
+def quarantined_orders(parsed: DataFrame) -> DataFrame:
+    """Bad records: reason, every field that was read, and the whole text."""
+    fields = [f.name for f in ORDER_EVENT.fields]
+    return parsed.where(F.col("_reason").isNotNull()).select(F.col("_reason").alias("reason"), *fields, F.col("_raw").alias("raw"))
