@@ -33,6 +33,7 @@ def write_kafka(df: DataFrame, bootstrap: str, topic: str) -> None:
         .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
 
 
-def show(df: DataFrame, n: int = 20) -> None:
-    """K8: print without truncation (the console sink of the batch jobs)."""
-    df.show(n, truncate=False)
+def show(df: DataFrame) -> None:
+    """K8: print every row as JSON, a partition at a time (the console sink of the batch jobs)."""
+    for row in to_json_records(df).toLocalIterator():
+        print(row["value"])

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loglark.functions.timefmt import ntz_as_utc_instant, order_event_time, wall_clock
 from loglark.operators.dedup import latest_per_key
-from loglark.sources.orders import order_facts, parse_order_json
+from loglark.sources.orders import order_facts, parse_order_json, quarantined_orders
 
 WINDOW_FORMAT = "yyyy-MM-dd HH:mm:ss"
 WINDOW_UPDATE = T.StructType([
@@ -94,6 +94,24 @@ def start_windowed_orders(records: DataFrame, out_path: str, checkpoint: str, si
         conf.set("spark.sql.shuffle.partitions", old)
 
 
+class OrderQuarantineSink:
+    """``foreachBatch``: bad records, with their text, to ``<out>/batch_id=<id>``."""
+
+    def __init__(self, out_path: str):
+        self.out_path = out_path.rstrip("/")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        (quarantined_orders(parse_order_json(batch)).hint("rebalance")
+            .write.mode("overwrite").parquet(f"{self.out_path}/batch_id={batch_id}"))
+
+
+def start_order_quarantine(records: DataFrame, out_path: str, checkpoint: str, available_now: bool = False,
+                           processing_time: str = "5 seconds") -> StreamingQuery:
+    """The records that the window query leaves out, as a stream of their own."""
+    w = records.writeStream.foreachBatch(OrderQuarantineSink(out_path)).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)).start()
+
+
 def window_view(spark: SparkSession, out_path: str) -> DataFrame:
     """Current value of every window: its update from the latest batch."""
     ups = spark.read.schema(WINDOW_UPDATE).parquet(out_path)

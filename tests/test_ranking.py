@@ -8,13 +8,13 @@ from loglark.operators.ranking import global_row_number, parse_products, ranked_
 
 
 def test_products_price_then_store(spark):
-    lines = spark.createDataFrame([("A 17999 1000",), ("B 200 10",), ("C 200 1000",), ("D 9 2000",)], "value string")
+    lines = spark.createDataFrame([("pen 120 40",), ("lamp 3500 6",), ("cup 120 75",), ("desk 48000 2",), ("cable 35 900",)], "value string")
     p = parse_products(lines)
     out = ranked_products(p, "price_store").orderBy("rn").collect()
-    assert [r["name"] for r in out] == ["A", "C", "B", "D"]
-    assert out[0]["descr"] == "ProductClass(A, 17999, 1000)"
+    assert [r["name"] for r in out] == ["desk", "lamp", "cup", "pen", "cable"]
+    assert out[0]["descr"] == "ProductClass(desk, 48000, 2)"
     price_only = ranked_products(p, "price").orderBy("rn").collect()
-    assert [r["name"] for r in price_only] == ["A", "B", "C", "D"]  # name breaks the price tie
+    assert [r["name"] for r in price_only] == ["desk", "lamp", "cup", "pen", "cable"]  # name breaks the price tie
 
 
 def test_parse_bad_numbers(spark):
