@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 UNKNOWN = "Unknown"
 
 # Browser rules in priority order.  ``name`` None means "take the
-# name from group 1 of the version pattern" (crawlers name themselves).
+# name from group 1 of the version pattern" (crawlers name themselves; a
+# crawler's token ends in '/', ';', ')' or the text, which a phone model with
+# "bot" in its name does not; words before it belong to the name).
 # (test pattern, name, version pattern)
 BROWSER_RULES = [
-    (r"(?i)(bot|spider|crawler)", None, r"([A-Za-z]*(?:[Bb]ot|[Ss]pider|[Cc]rawler))/?([0-9.]*)"),
+    (r"(?i)(?:bot|spider|crawler)(?:[/;)]|$)", None,
+     r"(?i)((?:[a-z]+ )*[a-z0-9_-]*(?:bot|spider|crawler))(?=[/;)]|$)/?([0-9.]*)"),
     (r"Edg(e|A|iOS)?/", "Edge", r"Edg(?:e|A|iOS)?/([0-9.]+)"),
     (r"OPR/", "Opera", r"OPR/([0-9.]+)"),
     (r"CriOS/", "Chrome", r"CriOS/([0-9.]+)"),
@@ -65,7 +68,9 @@ def _by_index(idx: Column, values: list[Column], default: Column) -> Column:
 
 def browser_name(ua: Column, idx: Column | None = None) -> Column:
     idx = _rule_index(ua, BROWSER_RULES) if idx is None else idx
-    names = [F.lit(name) if name is not None else F.regexp_extract(ua, vpat, 1) for _, name, vpat in BROWSER_RULES]
+    names = [F.lit(name) if name is not None
+             else F.coalesce(F.nullif(F.regexp_extract(ua, vpat, 1), F.lit("")), F.lit(UNKNOWN))
+             for _, name, vpat in BROWSER_RULES]
     return _by_index(idx, names, F.lit(UNKNOWN))
 
 
