@@ -68,6 +68,14 @@ def latest_cells(cells: DataFrame) -> DataFrame:
     return g.select("rowkey", "family", "qualifier", F.col("_v.value").alias("value"), F.col("_v.ts").alias("ts"))
 
 
+def latest_columns(puts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """W2 on wide rows: ``puts(rowkey, ts, *columns)`` -> per row key the newest
+    non-null version of each column as ``struct(ts, value)``.  Rows are reduced
+    wide, one partial aggregate, before anything is cut into cells."""
+    versions = [F.max(F.when(F.col(c).isNotNull(), F.struct("ts", F.col(c).cast("string").alias("value")))).alias(c) for c in columns]
+    return puts.groupBy("rowkey").agg(*versions)
+
+
 def latest_wide(cells: DataFrame, columns: Sequence[str], family: str) -> DataFrame:
     """W2 + P9 in one aggregate: the newest version of each column of each row.
 
@@ -127,7 +135,7 @@ def get_rows(cells: DataFrame, keys: DataFrame, max_keys: int = 1_000_000,
     k, small = broadcast_if_small(k, max_keys)
     if small or salt <= 1:
         return cells.join(k, "rowkey", "left_semi")
-    c = cells.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt)))
+    c = cells.withColumn("_salt", F.pmod(F.xxhash64(*cells.columns), F.lit(salt)))
     ks = k.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return c.join(ks, ["rowkey", "_salt"], "left_semi").drop("_salt")
 

@@ -52,8 +52,8 @@ def enrich_geo(df: DataFrame, geo: DataFrame, ip_col: str = "ip",
     raises if two ranges overlap (an ip would otherwise match twice).
 
     Beyond the broadcast limit the join shuffles on the bucket, salted: each
-    log row takes one of ``salt`` values from its position (deterministic on a
-    re-read of the same input), each bucket row is repeated once per salt
+    log row takes one of ``salt`` values from a hash of its columns (a repeated
+    task sends it to the same place), each bucket row is repeated once per salt
     value, and the join key is (bucket, salt).  A /16 holding a third of all
     rows is then spread over ``salt`` partitions instead of landing in one.
     The salt only steers placement: every salt copy of a bucket row is the
@@ -67,7 +67,7 @@ def enrich_geo(df: DataFrame, geo: DataFrame, ip_col: str = "ip",
     left = left.withColumn("_ipn", ip_to_long(F.col(ip_col))).withColumn("_ipb", F.floor(F.col("_ipn") / BUCKET))
     salted = not small and salt > 1
     if salted:
-        left = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt)))
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)))
         buckets = buckets.withColumn("_gsalt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     g = buckets.alias("_g")
     cond = (F.col("_ipb") == F.col("_g._bucket")) & F.col("_ipn").between(F.col("_g.lo"), F.col("_g.hi"))
@@ -76,11 +76,3 @@ def enrich_geo(df: DataFrame, geo: DataFrame, ip_col: str = "ip",
     joined = left.join(g, cond, "left")
     keep = [F.col(c) for c in left.columns if c not in ("_ipn", "_ipb", "_salt")]
     return joined.select(*keep, *[F.col("_g." + c).alias(c) for c in GEO_COLS])
-
-
-def enrich_geo_nested_loop(df: DataFrame, geo: DataFrame, ip_col: str = "ip") -> DataFrame:
-    """The naive form (range condition only), kept for the benchmark comparison."""
-    left = df.withColumn("_ipn", ip_to_long(F.col(ip_col)))
-    g = geo.alias("_g")
-    joined = left.join(g, F.col("_ipn").between(F.col("_g.lo"), F.col("_g.hi")), "left")
-    return joined.select(*[F.col(c) for c in df.columns], *[F.col("_g." + c).alias(c) for c in GEO_COLS])

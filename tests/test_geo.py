@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from loglark.operators.geo import enrich_geo, enrich_geo_nested_loop, overlapping_ranges
+from loglark.functions.ipaddr import ip_to_long
+from loglark.operators.geo import GEO_COLS, enrich_geo, overlapping_ranges
 from loglark.schemas import GEO_RANGE
 
 A = 16777216
@@ -32,6 +33,13 @@ CASES = [
 ]
 
 
+def enrich_geo_nested_loop(df, geo, ip_col="ip"):
+    """The plain range condition, to compare with."""
+    left, g = df.withColumn("_ipn", ip_to_long(F.col(ip_col))), geo.alias("_g")
+    joined = left.join(g, F.col("_ipn").between(F.col("_g.lo"), F.col("_g.hi")), "left")
+    return joined.select(*[F.col(c) for c in df.columns], *[F.col("_g." + c).alias(c) for c in GEO_COLS])
+
+
 @pytest.mark.parametrize("fn", [enrich_geo, enrich_geo_nested_loop])
 def test_cases(spark, geo, fn):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(CASES)], "id int, ip_case struct<ip:string,city:string>")
