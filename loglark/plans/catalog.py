@@ -25,7 +25,6 @@ from loglark.session import ensure_checkpoint_dir, new_scratch
 from loglark.sinks.tables import read_day_table, replace_day, replace_days, write_sorted_cells
 from loglark.sources import adapters
 from loglark.sources.access_log import good_rows, parse_lines, quarantined
-from loglark.sources.generator import generate_orders
 from loglark.sources.orders import order_facts, parse_order_json
 from loglark.streaming import counters as sc
 from loglark.streaming.sources import order_stream_from_files
@@ -38,29 +37,18 @@ KV_RANGE = ("20240105", "20240108")
 KV_PREFIXES = ("20240103_", "20240117_")
 KV_ROW_REGEX = "^2024011[0-5]_[0-9a-f]*0$"
 REPLACED_DAY = "20240115"
+SCAN_FROM = "20240120"
+KV_KEY = "0000000042"
 KEYWORD_PARAMS = ("page", "ref")
 STREAM_FILES = 6
 
 
-# Fact tables: a single-file table is spread over the cluster's cores (see spread).
-FACT_TABLES = {"events", "documents", "pages", "lineitem", "orders", "customer"}
 
 _MATERIALIZED: dict[tuple[str, str, str], str] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a table that arrives in fewer splits than the cluster has
-    cores (a one-row-group file).  A table read from many files is left as it
-    is, so at scale this adds no shuffle."""
-    sc = df.sparkSession.sparkContext
-    if df.rdd.getNumPartitions() < sc.defaultParallelism:
-        return df.repartition(sc.defaultParallelism)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def materialized_text(spark: SparkSession, sf_dir: str, kind: str, render) -> DataFrame:
@@ -148,12 +136,6 @@ def version_ts(df: DataFrame) -> F.Column:
     return (F.unix_seconds(F.col("time_ts")) * 1000).cast("bigint")
 
 
-def access_cells_all_versions(spark, d):
-    """Every good line is a put of its 15 cells with its own time as version."""
-    c = clean_log(spark, d)
-    return kv.to_cells(c, STORED_FIELDS, "o", ts=version_ts(c))
-
-
 def access_cells(spark, d):
     """The stored access rows as cells of family ``o`` (one version each)."""
     return kv.to_cells(access_store(spark, d), STORED_FIELDS, "o")
@@ -200,6 +182,22 @@ def q_paid_ratio_hourly(spark, d):
     return om.with_paid_ratio(om.metrics_by(facts(spark, d), "day", "hour"))
 
 
+def q_paid_ratio_daily(spark, d):
+    return om.with_paid_ratio(om.metrics_by(facts(spark, d), "day"))
+
+
+def q_paid_ratio_minutely(spark, d):
+    return om.with_paid_ratio(om.minute_metrics(facts(spark, d)))
+
+
+def q_order_counter_map(spark, d):
+    """Each day's counters as one map, compared as its entries."""
+    daily = om.metrics_by(facts(spark, d), "day")
+    names = ["total", "success", "fee"]
+    as_map = daily.select("day", F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))]).alias("m"))
+    return as_map.select("day", F.explode("m").alias("field", "value"))
+
+
 def q_orders_rollup(spark, d):
     return om.rollup_metrics(facts(spark, d)).withColumn("level", F.col("level").cast("bigint"))
 
@@ -260,6 +258,44 @@ def q_stream_windows_tumbling(spark, d):
     return window_view(spark, root + "/out")
 
 
+def q_stream_counters_restart(spark, d):
+    """Stop after the last batch, lose its commit record, start again from
+    the same checkpoint: the last batch runs a second time and counts once."""
+    root = new_scratch(spark, "stream-restart")
+    src, deltas, checkpoint = f"{root}/source", f"{root}/deltas", f"{root}/checkpoint"
+    order_records(spark, d).repartition(STREAM_FILES).write.mode("overwrite").text(src)
+
+    def run():
+        sc.start_order_counters(order_stream_from_files(spark, src, max_files_per_trigger=1), deltas,
+                                checkpoint=checkpoint, available_now=True).awaitTermination()
+
+    run()
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/{STREAM_FILES - 1}")
+    commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commits, False)
+    run()
+    return sc.hash_counter_view(spark, deltas)
+
+
+def _compacted(spark, d):
+    root = new_scratch(spark, "stream-compacted")
+    src, deltas = f"{root}/source", f"{root}/deltas"
+    order_records(spark, d).repartition(STREAM_FILES).write.mode("overwrite").text(src)
+    sc.start_order_counters(order_stream_from_files(spark, src, max_files_per_trigger=1), deltas,
+                            checkpoint=f"{root}/checkpoint", available_now=True).awaitTermination()
+    sc.compact_deltas(spark, deltas, STREAM_FILES // 2)
+    return deltas
+
+
+def q_stream_counters_compacted(spark, d):
+    """Half of the batches folded; the view is the fold plus the rest."""
+    return sc.hash_counter_view(spark, _compacted(spark, d))
+
+
+def q_stream_string_counters(spark, d):
+    """K5 over a stream, half of it folded."""
+    return sc.string_counter_view(spark, _compacted(spark, d))
+
+
 def q_stream_counters_files(spark, d):
     return _stream_counters(spark, d, replay=False)
 
@@ -358,21 +394,28 @@ def q_cells_unpivot(spark, d):
     return access_cells(spark, d).select("rowkey", "family", "qualifier", "value")
 
 
+def _versions(spark, d):
+    c = clean_log(spark, d)
+    return c.select("rowkey", version_ts(c).alias("ts"), *STORED_FIELDS)
+
+
 def q_cells_latest_version(spark, d):
-    return kv.latest_cells(access_cells_all_versions(spark, d))
+    """Every good line is a put of its 15 cells; the lines are reduced
+    before they are cut into cells, so one row per line and task is shuffled, not 15."""
+    latest = kv.latest_columns(_versions(spark, d), STORED_FIELDS)
+    cells = F.array(*[F.struct(F.lit(c).alias("qualifier"), F.col(f"{c}.value").alias("value"), F.col(f"{c}.ts").alias("ts"))
+                      for c in STORED_FIELDS])
+    return (latest.select("rowkey", F.lit("o").alias("family"), F.inline(cells)).where(F.col("value").isNotNull()))
 
 
 def q_cells_pivot_back(spark, d):
-    return kv.latest_wide(access_cells_all_versions(spark, d), STORED_FIELDS, "o")
+    return kv.latest_columns(_versions(spark, d), STORED_FIELDS).select(
+        "rowkey", *[F.col(f"{c}.value").alias(c) for c in STORED_FIELDS])
 
 
 def q_kv_get(spark, d):
-    """point get on the stored cell table.  The key (the smallest one) is
-    a single scalar read from the key column; the get itself is a literal
-    equality that Parquet min/max statistics turn into file skipping."""
-    store = cell_store(spark, d)
-    first = store.agg(F.min("rowkey").alias("k")).first()["k"]
-    return kv.get_row(store, first).select("rowkey", "family", "qualifier", "value")
+    """point get of a given key."""
+    return kv.get_row(customer_cells(spark, d), KV_KEY).select("rowkey", "family", "qualifier", "value")
 
 
 def q_kv_multi_get(spark, d):
@@ -383,6 +426,18 @@ def q_kv_multi_get(spark, d):
     return kv.get_rows(store, keys).select("rowkey", "family", "qualifier", "value")
 
 
+def q_kv_scan_from(spark, d):
+    return kv.scan_from(cell_store(spark, d), SCAN_FROM).select("rowkey", "family", "qualifier", "value")
+
+
+def q_cells_update(spark, d):
+    """One column of a key range gets a new version; the newest is read back."""
+    old = kv.scan_range(cell_store(spark, d), *KV_RANGE)
+    new = (old.where(F.col("qualifier") == "city").withColumn("value", F.lit("moved"))
+           .withColumn("ts", F.coalesce(F.col("ts"), F.lit(0)) + 1))
+    return kv.latest_cells(old.unionByName(new)).select("rowkey", "family", "qualifier", "value")
+
+
 def q_kv_range_scan(spark, d):
     return kv.scan_range(cell_store(spark, d), *KV_RANGE).select("rowkey", "family", "qualifier", "value")
 
@@ -468,17 +523,23 @@ def q_access_etl_backfill(spark, d):
     return read_day_table(spark, path, ACCESS_TABLE_WITH_DAY)
 
 
-# ---- text, generator --------------------------------------------------------
+def q_access_backfill_keeps_other_days(spark, d):
+    """Load all days, then backfill one listed day from the whole log: every
+    other day and its quarantine stay as they were."""
+    path = new_scratch(spark, "access-etl")
+    log_lines(spark, d)
+    src = materialized_path(spark, d, "access-log")
+    run_access_etl(spark, src, path, None, geo(spark, d), key_algo="md5")
+    run_access_etl(spark, src, path, None, geo(spark, d), key_algo="md5", days=[REPLACED_DAY])
+    return read_day_table(spark, path, ACCESS_TABLE_WITH_DAY)
+
+
+# ---- text -------------------------------------------------------------------
 
 def q_word_count(spark, d):
     return word_count(load(spark, d, "documents"), "text")
 
 
-def q_gen_orders(spark, d):
-    recs = generate_orders(events(spark, d), seed=42)
-    return parse_order_json(recs).drop("_reason")
-
-
 QUERIES: dict[str, QueryFn] = {
     "orders_daily": q_orders_daily,
     "orders_hourly": q_orders_hourly,
@@ -486,6 +547,9 @@ QUERIES: dict[str, QueryFn] = {
     "paid_count_daily": q_paid_count_daily,
     "paid_fee_daily": q_paid_fee_daily,
     "paid_ratio_hourly": q_paid_ratio_hourly,
+    "paid_ratio_daily": q_paid_ratio_daily,
+    "paid_ratio_minutely": q_paid_ratio_minutely,
+    "order_counter_map": q_order_counter_map,
     "orders_rollup": q_orders_rollup,
     "orders_day_over_day": q_orders_day_over_day,
     "order_hash_counters": q_order_hash_counters,
@@ -496,6 +560,9 @@ QUERIES: dict[str, QueryFn] = {
     "stream_counters_files": q_stream_counters_files,
     "stream_windows_tumbling": q_stream_windows_tumbling,
     "stream_counters_replay": q_stream_counters_replay,
+    "stream_counters_restart": q_stream_counters_restart,
+    "stream_counters_compacted": q_stream_counters_compacted,
+    "stream_string_counters": q_stream_string_counters,
     "access_parse": q_access_parse,
     "access_formattime": q_access_formattime,
     "access_quarantine": q_access_quarantine,
@@ -521,6 +588,8 @@ QUERIES: dict[str, QueryFn] = {
     "cells_sorted": q_cells_sorted,
     "kv_get": q_kv_get,
     "kv_multi_get": q_kv_multi_get,
+    "kv_scan_from": q_kv_scan_from,
+    "cells_update": q_cells_update,
     "kv_range_scan": q_kv_range_scan,
     "kv_prefix_any": q_kv_prefix_any,
     "kv_row_regex": q_kv_row_regex,
@@ -530,8 +599,8 @@ QUERIES: dict[str, QueryFn] = {
     "product_sort_price_stock": q_product_sort_price_stock,
     "product_sort_price": q_product_sort_price,
     "access_etl_backfill": q_access_etl_backfill,
+    "access_backfill_keeps_other_days": q_access_backfill_keeps_other_days,
     "replace_day_twice": q_replace_day_twice,
     "replace_day_empty": q_replace_day_empty,
     "word_count": q_word_count,
-    "gen_orders": q_gen_orders,
 }

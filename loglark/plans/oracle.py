@@ -46,6 +46,25 @@ UNION ALL SELECT 'orders-' || day, 'fee' || hour, fee FROM H
 """
 
 
+_STRING_COUNTERS = f"""WITH {_O}, {_DAILY}
+    SELECT 'paid-count-' || day AS key, success AS value FROM D
+    UNION ALL SELECT 'paid-fee-' || day, fee FROM D"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, a bit at a time (reflected polynomial 0xEDB88320)."""
+    shift = "lambda r, z: xor(r >> 1, 3988292384 * (r & 1))"
+    byte = f"lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], {shift})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), {byte}), 4294967295)"
+
+
+def _paid_ratio(keys: str) -> str:
+    return f"""WITH {_O}, H AS (SELECT {keys}, {_SUMS} FROM O GROUP BY {keys})
+        SELECT {keys}, total, success, fee,
+               round(CAST(success AS DOUBLE) / CAST(NULLIF(total, 0) AS DOUBLE), 6) AS paid_ratio FROM H"""
+
+
 def _pct(m: str) -> str:
     return (f"{m}, prev_{m}, {m} - prev_{m} AS delta_{m}, "
             f"round(CAST({m} - prev_{m} AS DOUBLE) * 100.0 / CAST(NULLIF(prev_{m}, 0) AS DOUBLE), 4) AS pct_{m}")
@@ -74,7 +93,38 @@ FROM (SELECT b AS s, total, success, fee FROM B
 """
 
 # ---- access log -------------------------------------------------------------
-_A = r"""
+# The access-log adapter's agents, in its order, with the names and versions they stand for
+# (agent, browser, browser version, OS, OS version).
+_AGENTS = [
+    ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36",
+     "Chrome", "120.0.0.0", "Windows", "10.0"),
+    ("Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) "
+     "Version/17.1 Safari/605.1.15", "Safari", "17.1", "Mac OS X", "10.15.7"),
+    ("Mozilla/5.0 (X11; Linux x86_64; rv:121.0) Gecko/20100101 Firefox/121.0", "Firefox", "121.0", "Linux", None),
+    ("Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)", "Googlebot", "2.1", "Unknown", None),
+    ("curl/8.4.0", "Unknown", None, "Unknown", None),
+    ("MJ12BOT/1.0", "MJ12BOT", "1.0", "Unknown", None),
+    ("Mozilla/5.0 (Linux; Android 9; CUBOT X19) AppleWebKit/537.36 (KHTML, like Gecko) "
+     "Chrome/119.0.0.0 Mobile Safari/537.36", "Chrome", "119.0.0.0", "Android", "9"),
+    ("Sogou web spider/4.0(+http://www.sogou.com/docs/help/webmasters.htm#07)", "Sogou web spider", "4.0", "Unknown", None),
+    ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 "
+     "Safari/537.36 Edg/120.0.2210.61", "Edge", "120.0.2210.61", "Windows", "10.0"),
+    ("Mozilla/5.0 (Windows NT 6.1; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/118.0.0.0 "
+     "Safari/537.36 OPR/104.0.0.0", "Opera", "104.0.0.0", "Windows", "6.1"),
+    ("Mozilla/5.0 (iPhone; CPU iPhone OS 16_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) "
+     "CriOS/118.0.5993.69 Mobile/15E148 Safari/604.1", "Chrome", "118.0.5993.69", "iOS", "16.6"),
+    ("Mozilla/5.0 (Windows NT 6.1; Trident/7.0; rv:11.0) like Gecko", "IE", "11.0", "Windows", "6.1"),
+]
+
+
+def _text(x: str | None) -> str:
+    return "CAST(NULL AS VARCHAR)" if x is None else f"'{x}'"
+
+
+_U = "U(i, ua, browsername, browserversion, osname, osversion) AS (VALUES " + ", ".join(
+    f"({i}, {', '.join(map(_text, row))})" for i, row in enumerate(_AGENTS)) + ")"
+
+_A = "\n" + _U + r""",
 E AS (SELECT event_id, ts, user_id, event_type, value,
              CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 A AS (
@@ -90,26 +140,15 @@ A AS (
     CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS status,
     CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) AS bytessent,
     CASE WHEN event_type IN ('signup', 'error') THEN '-' ELSE 'https://www.example.com/' || event_type END AS referer,
-    CASE user_id % 5
-      WHEN 0 THEN 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/73.0.3642.0 Safari/537.36'
-      WHEN 1 THEN 'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_14_2) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/12.0.2 Safari/605.1.15'
-      WHEN 2 THEN 'Mozilla/5.0 (Windows NT 6.1; WOW64; rv:64.0) Gecko/20100101 Firefox/64.0'
-      WHEN 3 THEN 'Mozilla/5.0 (compatible; Baiduspider/2.0; +http://www.baidu.com/search/spider.html)'
-      ELSE 'swcd (unknown version) CFNetwork/974.2.1 Darwin/18.0.0' END AS ua,
+    U.ua AS ua,
     strftime(ts, '%Y%m%d%H%M') AS formattime,
-    strftime(ts, '%Y%m%d') AS day
-  FROM E),
+    strftime(ts, '%Y%m%d') AS day,
+    U.browsername, U.browserversion, U.osname, U.osversion
+  FROM E JOIN U ON U.i = E.user_id % (SELECT count(*) FROM U)),
 G AS (SELECT * FROM A WHERE coalesce(k, -1) NOT IN (13, 42, 77)),
 GG AS (
   SELECT G.*, r.r_name AS country, n.n_name AS province,
     n.n_name || '-' || CAST(((user_id * 7) % 256) // 64 AS VARCHAR) AS city,
-    CASE user_id % 5 WHEN 0 THEN 'Chrome' WHEN 1 THEN 'Safari' WHEN 2 THEN 'Firefox'
-                     WHEN 3 THEN 'Baiduspider' ELSE 'Unknown' END AS browsername,
-    CASE user_id % 5 WHEN 0 THEN '73.0.3642.0' WHEN 1 THEN '12.0.2' WHEN 2 THEN '64.0'
-                     WHEN 3 THEN '2.0' END AS browserversion,
-    CASE user_id % 5 WHEN 0 THEN 'Windows' WHEN 1 THEN 'Mac OS X' WHEN 2 THEN 'Windows'
-                     ELSE 'Unknown' END AS osname,
-    CASE user_id % 5 WHEN 0 THEN '10.0' WHEN 1 THEN '10.14.2' WHEN 2 THEN '6.1' END AS osversion,
     day || '_' || md5(referer || url || ip || ua) AS rowkey
   FROM G LEFT JOIN nation n ON n.n_nationkey = G.user_id % 26
          LEFT JOIN region r ON r.r_regionkey = n.n_regionkey)"""
@@ -129,6 +168,12 @@ def _visits(keys: str) -> str:
     return f"{_WITH_T} SELECT {keys}, count(*) AS visits, CAST(sum(hits) AS BIGINT) AS page_views FROM T GROUP BY {keys}"
 
 
+def _ranked_browsers(where: str = "") -> str:
+    return f"""{_WITH_T}, B AS (SELECT browsername, count(*) AS visits, CAST(sum(hits) AS BIGINT) AS page_views
+        FROM T {where} GROUP BY browsername)
+        SELECT *, CAST(row_number() OVER (ORDER BY visits DESC, browsername ASC NULLS LAST) AS BIGINT) AS rank FROM B"""
+
+
 _QUARANTINE = f"""
 WITH {_A},
 H AS (SELECT *, ip || ' - - [' || (CASE WHEN k = 13 THEN regexp_replace(stamp, '/[A-Za-z]{{3}}/', '/Xxx/') ELSE stamp END)
@@ -184,26 +229,31 @@ ORACLE: dict[str, str] = {
     "orders_minutely": _orders_by("day, hour, minute"),
     "paid_count_daily": f"WITH {_O} SELECT day, CAST(sum(success) AS BIGINT) AS paid_orders FROM O GROUP BY day",
     "paid_fee_daily": f"WITH {_O} SELECT day, CAST(sum(fee) AS BIGINT) AS paid_fee FROM O GROUP BY day",
-    "paid_ratio_hourly": f"""WITH {_O}, H AS (SELECT day, hour, {_SUMS} FROM O GROUP BY day, hour)
-        SELECT day, hour, total, success, fee,
-               round(CAST(success AS DOUBLE) / CAST(NULLIF(total, 0) AS DOUBLE), 6) AS paid_ratio FROM H""",
+    "paid_ratio_hourly": _paid_ratio("day, hour"),
     "orders_rollup": f"""WITH {_O}, M AS (SELECT day, hour, minute, {_SUMS} FROM O GROUP BY day, hour, minute)
         SELECT day, hour, minute, {_SUMS}, CAST(GROUPING(day, hour, minute) AS BIGINT) AS level
         FROM M GROUP BY ROLLUP (day, hour, minute)""",
     "orders_day_over_day": _DAY_OVER_DAY,
     "order_hash_counters": _HASH_COUNTERS,
-    "order_string_counters": f"""WITH {_O}, {_DAILY}
-        SELECT 'paid-count-' || day AS key, success AS value FROM D
-        UNION ALL SELECT 'paid-fee-' || day, fee FROM D""",
+    "order_string_counters": _STRING_COUNTERS,
+    "order_counter_map": f"""WITH {_O}, {_DAILY}
+        SELECT day, unnest(['fee', 'success', 'total']) AS field, unnest([fee, success, total]) AS value FROM D""",
+    "paid_ratio_daily": _paid_ratio("day"),
+    "paid_ratio_minutely": _paid_ratio("day, hour, minute"),
     "order_metric_vectors": _orders_by("day"),
     "orders_window_tumbling": _WINDOW_TUMBLING,
     "orders_window_sliding": _WINDOW_SLIDING,
     "stream_counters_files": _HASH_COUNTERS,
     "stream_windows_tumbling": _WINDOW_TUMBLING,
     "stream_counters_replay": _HASH_COUNTERS,
+    "stream_counters_restart": _HASH_COUNTERS,
+    "stream_counters_compacted": _HASH_COUNTERS,
+    "stream_string_counters": _STRING_COUNTERS,
     "access_parse": f"WITH {_A} SELECT ip, time, method, url, protocal, status, bytessent, referer, ua FROM G",
     "access_formattime": f"WITH {_A} SELECT time, formattime FROM G",
     "access_quarantine": _QUARANTINE,
+    "access_rowkey_crc32": f"""WITH {_A}
+        SELECT day, day || '_' || CAST({_crc32("referer || url || ip || ua")} AS VARCHAR) AS rowkey FROM G""",
     "access_rowkey_md5": f"WITH {_A} SELECT day, day || '_' || md5(referer || url || ip || ua) AS rowkey FROM G",
     "access_dedup": f"{_WITH_T} SELECT * FROM T",
     "user_agent_stats": _visits("browsername, browserversion, osname, osversion"),
@@ -218,12 +268,11 @@ ORACLE: dict[str, str] = {
                                           province ASC NULLS LAST) AS BIGINT) AS rank
         FROM RV QUALIFY rank <= 10""",
     "city_visits": _visits("country, province, city"),
-    "browser_visits_df": _visits("browsername"),
-    "browser_visits_sql": _visits("browsername"),
-    "browser_visits_day": f"""{_WITH_T} SELECT browsername, count(*) AS visits, CAST(sum(hits) AS BIGINT) AS page_views
-        FROM T WHERE day = '20240115' GROUP BY browsername""",
+    "browser_visits_df": _ranked_browsers(),
+    "browser_visits_sql": _ranked_browsers(),
+    "browser_visits_day": _ranked_browsers("WHERE day = '20240115'"),
     "browser_stat_day": f"""{_WITH_T} SELECT day, coalesce(browsername, 'Unknown') AS browser,
-        count(*) AS cnt FROM T GROUP BY day, browsername""",
+        count(*) AS cnt FROM T GROUP BY ALL""",
     "url_clicks": _visits("url"),
     "query_keyword_counts": f"""SELECT param, keyword, count(*) AS cnt FROM (
         SELECT 'page' AS param, regexp_extract(url, '[?&]page=([^&#]*)', 1) AS keyword
@@ -237,8 +286,16 @@ ORACLE: dict[str, str] = {
     "cells_sorted": f"""{_WITH_T},{_CT}
         SELECT rowkey, family, qualifier, value,
                CAST(row_number() OVER (ORDER BY rowkey, family, qualifier) AS BIGINT) AS rn FROM CT""",
-    "kv_get": f"{_WITH_T},{_CT} {_CELLS} WHERE rowkey = (SELECT min(rowkey) FROM CT)",
+    "kv_get": f"""WITH {_CUST}
+        SELECT rowkey, CASE WHEN qualifier IN ('nation', 'region') THEN 'address' ELSE 'info' END AS family, qualifier, value
+        FROM (UNPIVOT (SELECT rowkey, name, segment, balance, nation, region FROM CUST)
+              ON name, segment, balance, nation, region INTO NAME qualifier VALUE value)
+        WHERE rowkey = '0000000042'""",
     "kv_multi_get": f"{_WITH_T},{_CT} {_CELLS} WHERE starts_with(rowkey, '20240103_')",
+    "kv_scan_from": f"{_WITH_T},{_CT} {_CELLS} WHERE rowkey >= '20240120'",
+    "cells_update": f"""{_WITH_T},{_CT} SELECT rowkey, family, qualifier,
+        CASE WHEN qualifier = 'city' THEN 'moved' ELSE value END AS value FROM CT
+        WHERE rowkey >= '20240105' AND rowkey < '20240108'""",
     "kv_range_scan": f"{_WITH_T},{_CT} {_CELLS} WHERE rowkey >= '20240105' AND rowkey < '20240108'",
     "kv_prefix_any": f"""{_WITH_T},{_CT} {_CELLS}
         WHERE starts_with(rowkey, '20240103_') OR starts_with(rowkey, '20240117_')""",
@@ -252,6 +309,7 @@ ORACLE: dict[str, str] = {
         order="price DESC NULLS LAST, store DESC NULLS LAST, name ASC NULLS LAST"),
     "product_sort_price": _PRODUCTS.format(order="price DESC NULLS LAST, name ASC NULLS LAST"),
     "access_etl_backfill": f"{_WITH_T} SELECT * FROM T",
+    "access_backfill_keeps_other_days": f"{_WITH_T} SELECT * FROM T",
     "replace_day_twice": f"{_WITH_T} SELECT * FROM T",
     "replace_day_empty": f"{_WITH_T} SELECT * FROM T WHERE day <> '20240115'",
     "word_count": r"""SELECT word, count(*) AS cnt FROM (
