@@ -5,7 +5,7 @@ Template, per turn::
     ### <Role>: <text></turn>\n
 
 A text may itself hold control strings.  Escaping puts a backslash in front of
-every backslash and inside ``###`` and ``</turn>``, so an escaped text holds no control string, and
+every backslash and inside ``##`` and ``</turn>``, so an escaped text holds no control string, and
 dropping one backslash before each escaped character gives the text back.
 
 Formatting is a round trip: a text is first rendered as it is, the rendering of
@@ -34,9 +34,7 @@ ASSISTANT = "assistant"
 
 def escape(text: Column) -> Column:
     out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    out = F.replace(out, F.lit("###"), F.lit("#\\##"))
-    # "####" leaves "#\###" after one pass: the remaining triple is cut as well
-    out = F.replace(out, F.lit("###"), F.lit("#\\##"))
+    out = F.replace(out, F.lit("##"), F.lit("#\\#"))  # no run of three is left
     return F.replace(out, F.lit(STOP), F.lit("<\\/turn>"))
 
 

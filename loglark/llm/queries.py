@@ -82,7 +82,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-_ESC = ("replace(replace(replace(replace({0}, '\\', '\\\\'), '###', '#\\##'), '###', '#\\##'), '</turn>', '<\\/turn>')")
+_ESC = "replace(replace(replace({0}, '\\', '\\\\'), '##', '#\\#'), '</turn>', '<\\/turn>')"
 _ROLE = "replace(replace(" + _ESC.format("role") + ", ':', '\\:'), chr(10), '\\' || chr(10))"
 
 ORACLE = {
