@@ -174,7 +174,7 @@ def mix_by_source(docs: DataFrame, seed: int = 0) -> DataFrame:
     sized = saved(by_source(docs, F.array("source"), F.col("text")), "mix-sizes")
     sizes, targets = weigh(sized)
     if not sizes:
-        return docs.sparkSession.createDataFrame([], "doc_id long, source string, size long, source_size long, target double, taken long")
+        return docs.sparkSession.createDataFrame([], "doc_id long, source string, size long, source_size long, target double, taken long, digest long")
     per = F.broadcast(docs.sparkSession.createDataFrame([(s, sizes[s], float(targets[s])) for s in sizes],
                                                         "source string, source_size long, target double"))
     mixed = mix(sized, targets, seed).withColumn("source_", F.col("member")[0])
