@@ -36,6 +36,13 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_few(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """Write a table of keys; broadcast it if it has at most ``rows`` rows
+    (counted, not estimated), else leave the join to a shuffle."""
+    keys = saved(df, "keys")
+    return F.broadcast(keys) if keys.count() <= rows else keys
+
+
 def word_count(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` in a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

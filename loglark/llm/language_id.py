@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglark.llm.common import saved
+from loglark.llm.common import broadcast_if_few, saved
 
 TRAIN_ROWS = 400
 FULL = 40
@@ -163,7 +163,8 @@ def accepted_documents(docs: DataFrame) -> DataFrame:
     if model is None:
         return docs.limit(0)
     evidence = document_evidence(docs).withColumn("digest", F.xxhash64("text"))
-    good = identify(evidence, model).where("not accepted").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    bad = identify(evidence, model).where("not accepted").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    bad = broadcast_if_few(bad)
     keyed = docs.withColumn("_key", F.xxhash64("text"))
-    return (keyed.join(good, keyed["doc_id"].eqNullSafe(good["_id"]) & keyed["_key"].eqNullSafe(good["_digest"]), "left_anti")
+    return (keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["_id"]) & keyed["_key"].eqNullSafe(bad["_digest"]), "left_anti")
             .select(*docs.columns))
