@@ -40,7 +40,7 @@ from loglark.session import new_scratch
 
 MAGIC = b"EFTOKENS"
 SHARD_TEXT_BYTES = 32 << 20
-MEMO = 250_000
+MEMO = 500_000
 SAMPLE_EVERY = 256
 
 
@@ -148,9 +148,10 @@ class TextEncoder:
         texts = [self.mark.join(p.decode("utf-8") for p in plain[lo:lo + 256]) for lo in range(0, len(plain), 256)]
         for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, self.dtype)
-            cuts = [-1, *np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
-            for p, a, b in zip(plain[k * 256:], cuts, cuts[1:], strict=False):
-                self.memo[p] = ids[a + 1:b].tobytes()
+            raw, width, marks = ids.tobytes(), self.dtype.itemsize, np.flatnonzero(ids == self.mark_id)
+            starts = [0, *((marks + 1) * width).tolist()]
+            ends = [*(marks * width).tolist(), len(raw)]
+            self.memo.update(zip(plain[k * 256:(k + 1) * 256], map(raw.__getitem__, map(slice, starts, ends)), strict=True))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
@@ -194,8 +195,8 @@ def write_shards(docs: DataFrame, out: str, tokenizer_path: str, end_id: int, id
                 name = f"shard-{shard:06d}.bin"
                 draft = f"{base}/_{name}.{uuid.uuid4().hex}"
                 sink = fs.open_output_stream(draft)
-            for lo in range(0, len(batch), 64):
-                for raw in encoder.encode_all(batch["text"].iloc[lo:lo + 64].tolist()):
+            for lo in range(0, len(batch), 256):
+                for raw in encoder.encode_all(batch["text"].iloc[lo:lo + 256].tolist()):
                     lengths.append(len(raw) // encoder.dtype.itemsize + 1)
                     sink.write(raw + end)
             ids.append(batch["doc_id"])
