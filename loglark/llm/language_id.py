@@ -12,7 +12,8 @@ Evidence for a row's language, combined as log odds:
 Models are fitted on at most ``TRAIN_ROWS`` rows per language (lowest hash of
 id), labelled by ``lang``; every count and prior covers all rows.  A row is
 accepted if its best posterior is at least ``ACCEPT`` and its text is not far
-less likely than any text of the sample (``FLOOR`` standard deviations).
+less likely than any text of the sample (``FLOOR`` standard deviations; texts of
+fewer than ``LONG`` trigrams vary too much for that test and skip it).
 
 Defined results: null, empty or shorter than three bytes: no text evidence,
 not accepted; null host or declared language: no such evidence; equal posteriors go by
@@ -32,6 +33,7 @@ TRAIN_ROWS = 400
 FULL = 40
 ACCEPT = 0.5
 FLOOR = 12.0
+LONG = 400
 KAPPA = 20.0
 BINS = 1 << 16
 
@@ -136,7 +138,7 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     posterior = 1 / F.aggregate("all", F.lit(0.0), lambda a, x: a + F.exp(top["bad"] - x["bad"]))
     return (rows.select(*keys, "grams", F.array_max("raw").alias("likely"), top["lang"].alias("lang"), F.round(posterior, 6).alias("posterior"))
             .select(*keys, "lang", "posterior", ((F.col("grams") > 0) & (F.col("posterior") >= ACCEPT)
-                                                 & ((F.col("grams") < FULL) | (F.col("likely") >= model.low))).alias("accepted")))
+                                                 & ((F.col("grams") < LONG) | (F.col("likely") >= model.low))).alias("accepted")))
 
 
 def document_evidence(docs: DataFrame) -> DataFrame:
