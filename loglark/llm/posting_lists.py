@@ -2,13 +2,15 @@
 
 Equal vectors are folded to one class, so copies cost one posting.  Centroids
 are fitted on a bounded hash sample (``SAMPLE`` vectors, at most ``LISTS``
-lists of about ``PER_LIST`` vectors each); clusters of more than twice the mean are split again.  Centroids are
-searched through an in-memory neighbour graph (beam search).  A vector goes to its
+lists of about ``PER_LIST`` vectors each); clusters of more than twice the mean are split again.  Vectors find
+their lists through an in-memory neighbour graph of the centroids (beam search).  A vector goes to its
 nearest list and, near a boundary, to further lists whose centroid is almost as
 near and not closer to a list already taken.  A query scans the lists whose
-centroid is within a distance ratio of its nearest one.  Every vector is
-indexed; a list with more than ``TILE`` postings is cut into tiles that each
-see the list's queries.
+centroid is within a distance ratio of its nearest one, of all centroids, up to a share
+of the lists (``SHARE``, at least ``PROBES``): in vectors without clusters the ratio
+prunes nothing, and a fixed number of lists would lose neighbours as the table grows.
+Every vector is indexed; a list with more than ``TILE`` postings is cut into tiles that
+each see the list's queries.
 
 Scores are cosines of the original vectors in double precision.  Recall against
 brute force is measured by the tests.  Defined results: vectors that are null,
@@ -33,7 +35,8 @@ TILE = 4_096
 NEAR = 16          # neighbours of a centroid in the graph
 COPIES = 4         # lists a vector may be in
 STORE_RATIO = 1.10
-PROBES = 48        # lists a query may scan
+PROBES = 48        # lists a query may scan in a small index
+SHARE = 4          # it may scan one list in so many in a large one
 SEARCH_RATIO = 1.35
 
 
@@ -126,7 +129,12 @@ class CentroidGraph:
         return out
 
     def probe(self, x: np.ndarray) -> list[np.ndarray]:
-        ids, dist = self.search(x, PROBES)
+        most, ids, dist = min(len(self.centres), max(PROBES, -(-len(self.centres) // SHARE))), [], []
+        for lo in range(0, len(x), 256):  # so many lists are ranked faster than walked to
+            d = np.sqrt(np.maximum(0, 2 - 2 * x[lo:lo + 256] @ self.centres.T))
+            near = d.argsort(1, kind="stable")[:, :most]
+            ids += list(near)
+            dist += list(np.take_along_axis(d, near, 1))
         return [i[np.isfinite(d) & (d <= SEARCH_RATIO * d[0] + 1e-9)].astype(np.int32) for i, d in zip(ids, dist, strict=True)]
 
 

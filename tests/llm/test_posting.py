@@ -58,3 +58,19 @@ def test_few_and_none(spark):
     assert pl.search(spark.createDataFrame([(0, [1.0, 0.0])], shape), "id % 50 = 0").collect() == []
     got = pl.search(spark.createDataFrame([(0, [1.0, 0.0]), (7, [1.0, 1.0]), (8, [0.0, -1.0])], shape), "id % 50 = 0").collect()
     assert [(r["rank"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 7), (2, 8)]
+
+
+def test_recall_holds_as_the_lists_grow():
+    """Vectors without clusters, many more lists than PROBES: the share of true neighbours in a probed list."""
+    rng = np.random.default_rng(4)
+    for n, floor in ((20_000, 0.97), (100_000, 0.96), (200_000, 0.96)):
+        x = pl.unit(rng.standard_normal((n, 64)))
+        graph = pl.CentroidGraph(pl.fit_centroids(x[:pl.SAMPLE], n // pl.PER_LIST))
+        asked = rng.choice(n, 100, replace=False)
+        score = x[asked] @ x.T
+        score[np.arange(100), asked] = -9
+        near = np.argpartition(-score, 5, axis=1)[:, :5]
+        probed = graph.probe(x[asked])
+        assert len(graph.centres) > pl.PROBES
+        hits = [np.isin(held, probed[i]).any() for i, top in enumerate(near) for held in graph.store(x[top])]
+        assert np.mean(hits) >= floor, (n, np.mean(hits))
