@@ -12,8 +12,11 @@ Evidence for a row's language, combined as log odds:
 Models are fitted on at most ``TRAIN_ROWS`` rows per language (lowest hash of
 id), labelled by ``lang``; every count and prior covers all rows.  A row is
 accepted if its best posterior is at least ``ACCEPT`` and its text is not far
-less likely than any text of the sample (``FLOOR`` standard deviations; texts of
-fewer than ``LONG`` trigrams vary too much for that test and skip it).
+less likely than the texts of the sample.  That floor goes by length: ``FLOOR``
+standard deviations for a long text, and more by the sampling error of the mean over
+few trigrams (``SHORT``), but never more than ``DEEP`` of the way to a text of unseen
+trigrams only.  At most ``UNSEEN`` of a text's trigrams, and ``SPARE`` more, may be unseen.
+Other languages of like letters in fewer than about 150 bytes are told only in part.
 
 Defined results: null, empty or shorter than three bytes: no text evidence,
 not accepted; null host or declared language: no such evidence; equal posteriors go by
@@ -33,7 +36,9 @@ TRAIN_ROWS = 400
 FULL = 40
 ACCEPT = 0.5
 FLOOR = 12.0
-LONG = 400
+SHORT = 170.0
+DEEP = 0.8
+UNSEEN, SPARE = 0.4, 6
 KAPPA = 20.0
 BINS = 1 << 16
 
@@ -49,14 +54,27 @@ class TextModel:
     """Log likelihood tables per language, and the floor of a likely text."""
 
     def __init__(self, names: list[str], table: np.ndarray, mean: float, spread: float):
-        self.names, self.table, self.low = names, table, mean - FLOOR * spread
+        self.names, self.table, self.mean, self.spread = names, table, mean, max(spread, 0.05 * abs(mean))
+        least = table.min(0)
+        self.seen, self.deep = (table > least).any(1), mean - DEEP * (mean - float(least.max()))
 
     def score(self, text: str | None) -> tuple[np.ndarray, int]:
         """(mean log likelihood per language, trigrams)."""
-        grams, total = trigrams(text), np.zeros(len(self.names))
+        return self.scored(text)[:2]
+
+    def scored(self, text: str | None) -> tuple[np.ndarray, int, int]:
+        """``score`` and the trigrams that no text of the sample has."""
+        grams, total, seen = trigrams(text), np.zeros(len(self.names)), 0
         for lo in range(0, len(grams), 1 << 18):
-            total += self.table[grams[lo:lo + (1 << 18)]].sum(0, dtype=float)
-        return total / max(1, len(grams)), len(grams)
+            some = grams[lo:lo + (1 << 18)]
+            total += self.table[some].sum(0, dtype=float)
+            seen += int(self.seen[some].sum())
+        return total / max(1, len(grams)), len(grams), len(grams) - seen
+
+    def likely(self, best: Column, grams: Column, unseen: Column) -> Column:
+        """Whether a text with this best mean log likelihood can be of a language at all."""
+        low = self.mean - self.spread * F.sqrt(FLOOR ** 2 + SHORT ** 2 / F.greatest(grams, F.lit(1)))
+        return (best >= F.greatest(low, F.lit(self.deep))) & (unseen <= UNSEEN * grams + SPARE)
 
 
 def fit(rows: DataFrame) -> TextModel | None:
@@ -91,10 +109,10 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     names, n = model.names, len(model.names)
     keys = [c for c in rows.columns if c not in ("text", "declared", "host", "suffix")]
 
-    @F.pandas_udf("struct<ll: array<double>, grams: long>")
+    @F.pandas_udf("struct<ll: array<double>, grams: long, unseen: long>")
     def likelihood(texts: pd.Series) -> pd.DataFrame:
-        found = [model.score(t) for t in texts]
-        return pd.DataFrame({"ll": [x.tolist() for x, _ in found], "grams": [g for _, g in found]})
+        found = [model.scored(t) for t in texts]
+        return pd.DataFrame({"ll": [x.tolist() for x, _, _ in found], "grams": [g for _, g, _ in found], "unseen": [u for _, _, u in found]})
 
     slim = saved(rows.select(*keys, F.lower("declared").alias("declared"), "host", "suffix", likelihood("text").alias("s"))
                  .select(*keys, "declared", "host", "suffix", "s.*"), "lang-text")
@@ -132,13 +150,13 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
 
     joined = slim.join(prior, slim["host"].eqNullSafe(prior["host_"]) & slim["suffix"].eqNullSafe(prior["suffix_"]), "left")
     post = [F.col(f"t{i}") + declared(i) + F.log(F.coalesce(F.col(f"h{i}"), F.lit(base[i]))) for i in range(n)]
-    rows = joined.select(*keys, "grams", F.array(*[F.col("ll")[i] for i in range(n)]).alias("raw"),
+    rows = joined.select(*keys, "grams", "unseen", F.array(*[F.col("ll")[i] for i in range(n)]).alias("raw"),
                          F.array_sort(F.array(*[F.struct((-x).alias("bad"), F.lit(name).alias("lang")) for x, name in zip(post, names, strict=True)])).alias("all"))
     top = F.col("all")[0]
     posterior = 1 / F.aggregate("all", F.lit(0.0), lambda a, x: a + F.exp(top["bad"] - x["bad"]))
-    return (rows.select(*keys, "grams", F.array_max("raw").alias("likely"), top["lang"].alias("lang"), F.round(posterior, 6).alias("posterior"))
+    return (rows.select(*keys, "grams", "unseen", F.array_max("raw").alias("likely"), top["lang"].alias("lang"), F.round(posterior, 6).alias("posterior"))
             .select(*keys, "lang", "posterior", ((F.col("grams") > 0) & (F.col("posterior") >= ACCEPT)
-                                                 & ((F.col("grams") < LONG) | (F.col("likely") >= model.low))).alias("accepted")))
+                                                 & model.likely(F.col("likely"), F.col("grams"), F.col("unseen"))).alias("accepted")))
 
 
 def document_evidence(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Language identification (operator 5): held-out accuracy and defined results."""
 
+import base64
 import math
+import random
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -77,3 +79,29 @@ def test_page_evidence(spark):
                                    (2, None, None), (3, "nonsense", "<p>x</p>")], "page_id long, url string, html string")
     got = {r["page_id"]: (r["host"], r["suffix"], r["declared"], (r["text"] or "").split()) for r in li.page_evidence(pages).collect()}
     assert got == {1: ("news.example.fr", "fr", "fr", ["oui"]), 2: (None, None, None, []), 3: (None, None, None, ["x"])}
+
+
+def test_short_texts_of_no_modelled_language_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model, rnd = li.fit(li.labelled(docs)), random.Random(8)
+    short = [r["text"] for r in docs.where("length(text) between 3 and 350").select("text").collect()]
+    numbers = [f"{t[:200]} {rnd.randrange(10 ** 9)} {rnd.randrange(3000)}-{rnd.randrange(12)}" for t in short if len(t) > 80]
+    words = ("вчера мы долго шли через старый город потому что автобус не пришёл а дождь закончился только вечером "
+             "когда открылись магазины").split()
+    finnish = ("vanha kalastaja istui hiljaa veneessään eikä puhunut mitään kun myrsky lähestyi saarta jossa hänen "
+               "perheensä oli asunut jo kymmeniä vuosia").split()
+    kinds = {"clean": short, "numbers": numbers}
+    cut = lambda make, least=60: [make()[:rnd.randint(least, 390)] for _ in range(150)]
+    kinds["russian"] = cut(lambda: " ".join(rnd.choices(words, k=80)), 30)
+    kinds["finnish"] = cut(lambda: " ".join(rnd.choices(finnish, k=80)), 160)
+    kinds["chinese"] = cut(lambda: "".join(rnd.choices("他们昨天晚上在老城的小饭馆里吃面条聊了很久才回家", k=390)), 20)
+    kinds["digits"] = cut(lambda: "".join(rnd.choices("0123456789 ", k=390)))
+    kinds["base64"] = cut(lambda: base64.b64encode(rnd.randbytes(390)).decode())
+    kinds["signs"] = cut(lambda: "".join(rnd.choices("!@#$%^&*()_+{}[]<>|~;:", k=390)))
+    kinds["letters"] = cut(lambda: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=390)))
+    rows = [(k, t, None, None, None) for k, texts in kinds.items() for t in texts]
+    got = li.identify(spark.createDataFrame(rows, "kind string, text string, declared string, host string, suffix string"), model)
+    share = {r["kind"]: r["a"] for r in got.groupBy("kind").agg(F.avg(F.col("accepted").cast("int")).alias("a")).collect()}
+    print(share)
+    assert len(short) > 300 and share["clean"] > 0.99 and share["numbers"] > 0.99, share
+    assert all(v < 0.05 for k, v in share.items() if k not in ("clean", "numbers")), share
