@@ -116,3 +116,21 @@ def test_line_dedup_matches_brute_force(spark, make, prose):
     assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
     assert sum(r["n_removed"] for r in got) > 100
     assert lc.dedup_lines(make([])).collect() == []
+
+
+def test_every_repeated_run_of_lines_goes(make, prose):
+    """Short blocks in the midst of other lines, against all pairs of lines in a row."""
+    blocks = [[prose(5) for _ in range(n)] for n in (2, 2, 3, 4, 6) for _ in range(4)]
+    rows = [(i, "\n".join([prose(4), *blocks[i % 20], prose(4), *blocks[(7 * i + 3) % 20], prose(4)])) for i in range(40)]
+    rows += [(50, "\n".join([blocks[0][1], *blocks[1], blocks[5][0]])), (51, "same\nsame\nsame"), (52, f"{blocks[3][0]}\nalone")]
+    seen, want = set(), {}
+    for i, text in rows:
+        lines, gone = text.split("\n"), set()
+        for k in range(len(lines) - 1):
+            pair = (lines[k], lines[k + 1])
+            gone |= {k, k + 1} if pair in seen else set()
+            seen.add(pair)
+        want[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    got = {r["doc_id"]: r["text"] for r in lc.dedup_lines(make(rows)).collect()}
+    assert got == want
+    assert got[52] == rows[-1][1] and got[50] == f"{blocks[0][1]}\n{blocks[5][0]}"
