@@ -8,9 +8,10 @@ kind), so a passage copied into a third of all documents is one class.
 Each class has ``BANDS`` bands of ``ROWS`` MinHash values: at Jaccard 0.8 a pair
 meets in some band with probability 1 - (1 - 0.8^4)^14 = 0.9994.  Classes that
 share a band meet in a bucket; buckets of more than ``TILE`` classes are cut
-into tiles in which earlier tiles' members are guests.  Inside a tile a pair is
+into tiles, and every pair of tiles is a group of its own, so no task holds more
+than two tiles of a bucket.  Inside a group a pair is
 verified by exact Jaccard of the shingle sets unless its two classes already
-hang together, so no tile emits more links than it has classes.  Components
+hang together, so no group emits more links than it has classes.  Components
 over all links are the clusters; in each, the first paragraph (smallest doc_id, then
 position) stays and the others are removed.
 
@@ -130,13 +131,15 @@ def shingles(words: bytes) -> set[bytes]:
 
 
 def verified_links(texts: list[bytes], guest: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs (i, j) with Jaccard of at least ``LIKE`` that hang all such (resident, anyone) pairs together."""
+    """Pairs (i, j) with Jaccard of at least ``LIKE`` that hang all such pairs together:
+    (resident, guest) pairs, or all pairs if there is no guest."""
     sets = [shingles(t) for t in texts]
     label, found = np.arange(len(texts)), []
     size = np.array([len(s) for s in sets])
     homes = np.flatnonzero(~guest)
+    others = guest if guest.any() else ~guest
     for i in homes:
-        near = (np.minimum(size, size[i]) >= LIKE * np.maximum(size, size[i])) & (label != label[i]) & (guest | (np.arange(len(texts)) > i))
+        near = (np.minimum(size, size[i]) >= LIKE * np.maximum(size, size[i])) & (label != label[i]) & others & (guest | (np.arange(len(texts)) > i))
         for j in np.flatnonzero(near):
             if label[j] != label[i]:
                 both = len(sets[i] & sets[j])
@@ -146,6 +149,16 @@ def verified_links(texts: list[bytes], guest: np.ndarray) -> list[tuple[int, int
     return found
 
 
+def tile_pairs(members: DataFrame) -> DataFrame:
+    """``members(bucket, size, k1, k2, ...)`` dealt to groups (bucket, one, two) of two
+    tiles, one <= two; the members of tile ``two`` are guests where the tiles differ."""
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    dealt = (members.withColumn("own", F.pmod(F.xxhash64("k1", "k2"), tiles).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))))
+    return (dealt.withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
+            .withColumn("guest", F.col("own") > F.col("other")).drop("own", "other", "size"))
+
+
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """One row per paragraph that has an equal or near-equal one elsewhere:
     doc_id, paragraph (line number from 0), first_doc_id, first_paragraph (the
@@ -179,11 +192,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
 
     texts = lines.select("text", "ats").mapInPandas(fetch, "k1 long, k2 long, words binary")
     texts = saved(texts.groupBy("k1", "k2").agg(F.first("words").alias("words")), "mh-texts")
-    dealt = members.join(texts, ["k1", "k2"])
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("k1", "k2"), tiles).cast("int")
-    dealt = (dealt.withColumn("own", own).withColumn("tile", F.explode(F.sequence("own", tiles - 1)))
-             .select("bucket", "tile", "k1", "k2", "words", (F.col("tile") != F.col("own")).alias("guest")))
+    dealt = tile_pairs(members.join(texts, ["k1", "k2"]))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         k1, k2 = pdf["k1"].to_numpy(), pdf["k2"].to_numpy()
@@ -191,7 +200,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
         i, j = np.array([f[0] for f in found], int), np.array([f[1] for f in found], int)
         return pd.DataFrame({"a1": k1[i], "a2": k2[i], "b1": k1[j], "b2": k2[j]})
 
-    met = dealt.groupBy("bucket", "tile").applyInPandas(compare, "a1 long, a2 long, b1 long, b2 long")
+    met = dealt.groupBy("bucket", "one", "two").applyInPandas(compare, "a1 long, a2 long, b1 long, b2 long")
     links = met.select(F.struct(F.col("a1").alias("k1"), F.col("a2").alias("k2")).alias("a"),
                        F.struct(F.col("b1").alias("k1"), F.col("b2").alias("k2")).alias("b"))
     roots = connected_components(links).select("node.*", "root")

@@ -134,3 +134,23 @@ def test_every_repeated_run_of_lines_goes(make, prose):
     got = {r["doc_id"]: r["text"] for r in lc.dedup_lines(make(rows)).collect()}
     assert got == want
     assert got[52] == rows[-1][1] and got[50] == f"{blocks[0][1]}\n{blocks[5][0]}"
+
+
+def test_no_group_of_a_hot_bucket_holds_more_than_two_tiles(spark, monkeypatch):
+    monkeypatch.setattr(pm, "TILE", 20)
+    members = spark.createDataFrame([(7, 200, k, k * k) for k in range(200)] + [(8, 3, k, 1) for k in range(3)], "bucket long, size long, k1 long, k2 long")
+    groups = {}
+    for r in pm.tile_pairs(members).collect():
+        groups.setdefault((r["bucket"], r["one"], r["two"]), []).append((r["k1"], r["guest"]))
+    own = {t: len(g) for (b, t, u), g in groups.items() if t == u and b == 7}
+    assert len(own) == 10 and sum(own.values()) == 200 and max(map(len, groups.values())) <= 2 * max(own.values()) <= 80
+    met = [(b, *sorted((x, y))) for (b, t, u), g in groups.items() for k, (x, gx) in enumerate(g) for y, gy in g[:k] if t == u or gx != gy]
+    assert len(met) == len(set(met)) == 200 * 199 // 2 + 3  # every pair once
+
+
+def test_hot_bucket_of_a_templated_line(make, prose, monkeypatch):
+    monkeypatch.setattr(pm, "TILE", 6)
+    words = prose(80).split()
+    rows = [(i, " ".join([*words[:40], f"number{i}", *words[40:]])) for i in range(70)] + [(200 + i, prose(40)) for i in range(10)]
+    got = pm.repeated_paragraphs(make(rows)).collect()
+    assert {r["doc_id"]: r["first_doc_id"] for r in got} == {i: 0 for i in range(70)}
