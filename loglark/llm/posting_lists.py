@@ -9,8 +9,9 @@ near and not closer to a list already taken.  A query scans the lists whose
 centroid is within a distance ratio of its nearest one, of all centroids, up to a share
 of the lists (``SHARE``, at least ``PROBES``): in vectors without clusters the ratio
 prunes nothing, and a fixed number of lists would lose neighbours as the table grows.
-Every vector is indexed; a list with more than ``TILE`` postings is cut into tiles that
-each see the list's queries.
+Lists beyond the ratio are scanned too until those taken must hold the neighbours asked for.
+Every vector is indexed; a list with more than ``TILE`` postings is cut into tiles, its queries
+into blocks of about ``ASKED``, and each tile meets each block.
 
 Scores are cosines of the original vectors in double precision.  Recall against
 brute force is measured by the tests.  Defined results: vectors that are null,
@@ -32,6 +33,7 @@ SAMPLE = 32_768
 LISTS = 4_096
 PER_LIST = 250
 TILE = 4_096
+ASKED = 4_096
 NEAR = 16          # neighbours of a centroid in the graph
 COPIES = 4         # lists a vector may be in
 STORE_RATIO = 1.10
@@ -128,14 +130,20 @@ class CentroidGraph:
             out.append(np.array(chosen, np.int32))
         return out
 
-    def probe(self, x: np.ndarray) -> list[np.ndarray]:
-        most, ids, dist = min(len(self.centres), max(PROBES, -(-len(self.centres) // SHARE))), [], []
+    def probe(self, x: np.ndarray, sizes: np.ndarray | None = None, least: int = 0) -> list[np.ndarray]:
+        """Lists to scan per row; with the lists' ``sizes``, they hold at least ``least`` classes if the table does."""
+        most, out = min(len(self.centres), max(PROBES, -(-len(self.centres) // SHARE))), []
         for lo in range(0, len(x), 256):  # so many lists are ranked faster than walked to
             d = np.sqrt(np.maximum(0, 2 - 2 * x[lo:lo + 256] @ self.centres.T))
-            near = d.argsort(1, kind="stable")[:, :most]
-            ids += list(near)
-            dist += list(np.take_along_axis(d, near, 1))
-        return [i[np.isfinite(d) & (d <= SEARCH_RATIO * d[0] + 1e-9)].astype(np.int32) for i, d in zip(ids, dist, strict=True)]
+            near = d.argsort(1, kind="stable")
+            d = np.take_along_axis(d, near, 1)
+            take = d <= SEARCH_RATIO * d[:, :1] + 1e-9
+            take[:, most:] = False
+            if sizes is not None:  # a class is in at most COPIES lists
+                held = np.cumsum(sizes[near], axis=1)
+                take |= held - sizes[near] < COPIES * least
+            out += [n[t].astype(np.int32) for n, t in zip(near, take, strict=True)]
+        return out
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -161,11 +169,11 @@ def search(vectors: DataFrame, queries_where: str, k: int = 5, id_col: str = "ve
     total = folded.count()
     graph = CentroidGraph(fit_centroids(unit(sample), int(np.clip(total // PER_LIST, 1, min(LISTS, max(1, len(sample) // 8))))))
 
-    def routed(name: str):
+    def routed(name: str, *more):
         def lists(batches):
             for b in batches:
                 x = unit(np.stack(b["v"].to_list()).astype(float))
-                found = getattr(graph, name)(x)
+                found = getattr(graph, name)(x, *more)
                 n = [len(f) for f in found]
                 yield pd.DataFrame({"list": np.concatenate(found), "c": np.repeat(b["c"].to_numpy(), n),
                                     "v": b["v"].repeat(n).to_numpy()})
@@ -177,11 +185,17 @@ def search(vectors: DataFrame, queries_where: str, k: int = 5, id_col: str = "ve
     distinct = folded.join(asked.select("c").distinct(), "c").select("c", "v")
     shape = "list int, c long, v array<double>"
     postings = saved(folded.select("c", "v").mapInPandas(routed("store"), shape), "ann-postings")
-    probes = saved(distinct.mapInPandas(routed("probe"), shape), "ann-probes")
-    big = [(r["list"], -(-r["n"] // TILE)) for r in postings.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > TILE).collect()]
-    tiles = F.broadcast(spark.createDataFrame(big, "list int, tiles int"))  # at most one row per list
-    postings = (postings.join(tiles, "list", "left").withColumn("tile", F.pmod(F.xxhash64("c"), F.coalesce("tiles", F.lit(1))).cast("int")))
-    probes = probes.join(tiles, "list", "left").withColumn("tile", F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1)))
+    held = {r["list"]: r["n"] for r in postings.groupBy("list").agg(F.count("*").alias("n")).collect()}  # at most one row per list
+    sizes = np.array([held.get(i, 0) for i in range(len(graph.centres))])
+    probes = saved(distinct.mapInPandas(routed("probe", sizes, k + 2), shape), "ann-probes")
+    asks = {r["list"]: r["n"] for r in probes.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    cut = [(i, -(-n // TILE), max(1, -(-asks.get(i, 0) // ASKED))) for i, n in held.items() if n > TILE or asks.get(i, 0) > ASKED]
+    cuts = F.broadcast(spark.createDataFrame(cut, "list int, tiles int, parts int"))
+    n_tiles, n_parts = F.coalesce("tiles", F.lit(1)), F.coalesce("parts", F.lit(1))
+    postings = (postings.join(cuts, "list", "left").withColumn("tile", F.pmod(F.xxhash64("c"), n_tiles).cast("int"))
+                .withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1))))
+    probes = (probes.join(cuts, "list", "left").withColumn("part", F.pmod(F.xxhash64("c", F.lit(5)), n_parts).cast("int"))
+              .withColumn("tile", F.explode(F.sequence(F.lit(0), n_tiles - 1))))
 
     def scan(key, one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -196,8 +210,8 @@ def search(vectors: DataFrame, queries_where: str, k: int = 5, id_col: str = "ve
                     found.append(pd.DataFrame({"q": qc, "c": ids[best], "score": row[best]}))
         return pd.concat(found) if found else pd.DataFrame({"q": [], "c": [], "score": []})
 
-    hits = (probes.select("list", "tile", "c", "v").groupBy("list", "tile")
-            .cogroup(postings.select("list", "tile", "c", "v").groupBy("list", "tile"))
+    hits = (probes.select("list", "tile", "part", "c", "v").groupBy("list", "tile", "part")
+            .cogroup(postings.select("list", "tile", "part", "c", "v").groupBy("list", "tile", "part"))
             .applyInPandas(scan, "q long, c long, score double"))
     hits = hits.groupBy("q", "c").agg(F.max("score").alias("score"))
     best = Window.partitionBy("q").orderBy(F.desc("score"), "c")

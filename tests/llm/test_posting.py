@@ -74,3 +74,16 @@ def test_recall_holds_as_the_lists_grow():
         assert len(graph.centres) > pl.PROBES
         hits = [np.isin(held, probed[i]).any() for i, top in enumerate(near) for held in graph.store(x[top])]
         assert np.mean(hits) >= floor, (n, np.mean(hits))
+
+
+def test_isolated_query_gets_its_neighbours(spark, monkeypatch):
+    """A vector that is a list of its own lies on its centroid; its queries come in several blocks."""
+    prepare(spark)
+    monkeypatch.setattr(pl, "PER_LIST", 10)
+    monkeypatch.setattr(pl, "ASKED", 3, raising=False)
+    rng = np.random.default_rng(6)
+    near = rng.standard_normal((120, 8)) * 0.01 + np.eye(8)[0]
+    x = np.concatenate([near, [-np.eye(8)[k] for k in range(8)]])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = pl.search(table, "vec_id >= 100").toPandas()
+    assert all(list(got[got["query_id"] == q].sort_values("rank")["rank"]) == [1, 2, 3, 4, 5] for q in range(100, 128))
