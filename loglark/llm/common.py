@@ -31,9 +31,19 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     ends there and a lost executor re-reads files instead of recomputing."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    path = new_scratch(spark, tag)
+    return saved_at(df, new_scratch(spark, tag))
+
+
+def saved_at(df: DataFrame, path: str) -> DataFrame:
+    """``saved`` under a name that the caller keeps, to give it to ``dropped``."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that no later step reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def broadcast_if_few(df: DataFrame, rows: int = 500_000) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loglark.llm import (chat_format, decontamination, language_id, line_chunks, mixing, paragraph_minhash, posting_lists,
+from loglark.llm import (chat_format, collocations, decontamination, language_id, line_chunks, mixing, paragraph_minhash, posting_lists,
                          simhash_vptree, token_counts, token_output)
 from loglark.llm.common import saved, table
 
@@ -68,6 +68,10 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_vptree.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing_flow": mixing_flow,
     "op2_paragraph_dedup": paragraph_dedup,
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_token_counts": transducer_counts,
     "op9_posting_search": posting_search,
     "op10_simhash": simhash_dedup,
+    "op11_collocations": phrase_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -100,4 +105,35 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length(body) + length(head) + 14) AS BIGINT) AS formatted_chars
 FROM said GROUP BY conv_id""",
+    "op11_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+said AS (SELECT lang, [x FOR x IN string_split(replace(piece, chr(9), ' '), ' ') IF x <> ''] AS w FROM pieces),
+grams AS (
+    SELECT lang, 1 AS words, unnest(w) AS phrase FROM said
+    UNION ALL SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM said
+    UNION ALL SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) FROM said),
+total AS (SELECT lang, count(*) AS n FROM grams WHERE words = 1 GROUP BY lang),
+f AS (SELECT lang, words, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cut AS (
+    SELECT lang, phrase, a, words, k, string_split(phrase, ' ') AS w FROM f, range(1, 3) AS t(k) WHERE k < words),
+sides AS (
+    SELECT c.lang, c.phrase, c.a, c.words, c.k, l.a AS l, r.a AS r,
+           CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+    FROM cut c
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+worst AS (SELECT * FROM sides QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+    SELECT lang, phrase, max(a) AS around FROM (
+        SELECT lang, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase, a
+        FROM f WHERE words = 3) GROUP BY ALL),
+kept AS (
+    SELECT w.* FROM worst w LEFT JOIN longer g ON g.lang = w.lang AND g.phrase = w.phrase
+    WHERE w.words = 3 OR g.around IS NULL OR 100 * g.around < 50 * w.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang)
+QUALIFY rank <= 2000""",
 }
