@@ -37,7 +37,12 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
 def saved_at(df: DataFrame, path: str) -> DataFrame:
     """``saved`` under a name that the caller keeps, to give it to ``dropped``."""
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return table_files(df.sparkSession, path, df.schema)
+
+
+def table_files(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A written table, read by the schema it was written with."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def dropped(spark: SparkSession, path: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loglark.llm import (chat_format, collocations, decontamination, language_id, line_chunks, mixing, paragraph_minhash, posting_lists,
+from loglark.llm import (byte_shards, chat_format, collocations, decontamination, language_id, line_chunks, mixing, paragraph_minhash, posting_lists,
                          simhash_vptree, token_counts, token_output)
 from loglark.llm.common import saved, table
 
@@ -72,6 +72,10 @@ def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def byte_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing_flow": mixing_flow,
     "op2_paragraph_dedup": paragraph_dedup,
@@ -84,12 +88,27 @@ QUERIES = {
     "op9_posting_search": posting_search,
     "op10_simhash": simhash_dedup,
     "op11_collocations": phrase_collocations,
+    "op13_byte_shards": byte_sharding,
     "pipeline": corpus_pipeline.run,
 }
 
 _ESC = "replace(replace(replace({0}, '\\', '\\\\'), '##', '#\\#'), '</turn>', '<\\/turn>')"
 _ROLE = "replace(replace(" + _ESC.format("role") + ", ':', '\\:'), chr(10), '\\' || chr(10))"
 
+
+def _crc32_table() -> str:
+    """The 256 remainders of the reflected polynomial 0xEDB88320, as an SQL list."""
+    out = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ 0xEDB88320 * (value & 1)
+        out.append(value)
+    return f"{out}::BIGINT[]"
+
+
+_CRC32 = (f"xor(list_reduce([4294967295] || [CAST('0x' || hex(text)[i : i + 1] AS BIGINT) FOR i IN range(1, 2 * strlen(text), 2)], "
+          f"lambda r, b: xor(r >> 8, ({_crc32_table()})[xor(r & 255, b) + 1])), 4294967295)")
+
 ORACLE = {
     "op7_chat": rf"""
 WITH rows AS (
@@ -136,4 +155,13 @@ kept AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM kept JOIN total USING (lang)
 QUALIFY rank <= 2000""",
+    "op13_byte_shards": f"""
+WITH d AS (SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size, coalesce({_CRC32}, 0) AS text_crc32 FROM documents),
+o AS (
+    SELECT *, sum(size) OVER () AS whole, sum(size) OVER w AS upto, row_number() OVER w AS place FROM d
+    WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT *, CAST((2 * upto - size) * 8 // (2 * whole) AS INTEGER) AS shard FROM o)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, place - min(place) OVER (PARTITION BY shard) AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM s""",
 }
