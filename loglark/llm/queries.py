@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loglark.llm import (byte_shards, chat_format, collocations, decontamination, language_id, line_chunks, mixing, paragraph_minhash, posting_lists,
+from loglark.llm import (byte_shards, chat_format, collocations, conversation_repair, decontamination, language_id, line_chunks, mixing, paragraph_minhash, posting_lists,
                          simhash_vptree, token_counts, token_output)
 from loglark.llm.common import saved, table
 
@@ -72,6 +72,11 @@ def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(conversation_repair.damaged(conversations), conversations)
+
+
 def byte_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_posting_search": posting_search,
     "op10_simhash": simhash_dedup,
     "op11_collocations": phrase_collocations,
+    "op12_conversation_repair": repair,
     "op13_byte_shards": byte_sharding,
     "pipeline": corpus_pipeline.run,
 }
