@@ -170,4 +170,66 @@ s AS (SELECT *, CAST((2 * upto - size) * 8 // (2 * whole) AS INTEGER) AS shard F
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, place - min(place) OVER (PARTITION BY shard) AS slot,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM s""",
+    "op12_conversation_repair": rf"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS body,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS text FROM conversations),
+hurt AS (SELECT conv_id, turn, role, body, {_CRC32} % 20 AS how FROM named),
+said AS (
+    SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+           CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(body, '[.!?]', '', 'g') ELSE body END AS text,
+           unnest(CASE WHEN how = 3 THEN [0, 1] ELSE [0] END) AS copy FROM hurt WHERE how <> 0),
+turns AS (
+    SELECT *, role[1:1] AS initial, row_number() OVER w AS i, lag(role[1:1]) OVER w AS before,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+           regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+    FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+f AS (
+    SELECT *, CASE WHEN last = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault
+    FROM turns),
+inserts(q, n, upto) AS (VALUES (0, 0, 0), (0, 1, 2), (0, 2, 3), (1, 0, 1), (1, 1, 2), (1, 2, 3), (2, 0, 2), (2, 1, 3), (2, 2, 2), (3, 0, 3), (3, 1, 2), (3, 2, 3)),
+edits(q, letter, initial, price, upto) AS (
+    VALUES (0, 'D', '', 2, 0), (1, 'D', '', 2, 1), (2, 'D', '', 2, 2), (3, 'D', '', 2, 3),
+        (0, 'R', '', 1, 2), (1, 'R', '', 1, 2), (3, 'R', '', 1, 2), (2, 'R', '', 1, 3),
+        (0, 'K', 's', 0, 1), (0, 'K', 'u', 0, 2), (1, 'K', 'u', 0, 2), (3, 'K', 'u', 0, 2), (2, 'K', 'a', 0, 3)),
+best(conv_id, i, q, cost, audit) AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), '' FROM f
+    UNION ALL
+    SELECT conv_id, i, q, cost, audit FROM (
+        SELECT b.conv_id, f.i, CAST(e.upto AS BIGINT) AS q, b.audit || repeat('I', n) || letter AS audit,
+               CAST(b.cost + 5 * n + price + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END AS BIGINT) AS cost
+        FROM best b JOIN f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1
+        JOIN inserts s ON s.q = b.q
+        JOIN edits e ON e.q = s.upto AND (letter = 'D' OR fault NOT IN ('blank', 'duplicate')) AND (letter <> 'K' OR e.initial = f.initial))
+    QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1),
+ends AS (
+    SELECT b.conv_id, CAST(cost + 5 * n AS BIGINT) AS cost, audit || repeat('I', n) AS audit
+    FROM best b JOIN (SELECT conv_id, max(i) AS i FROM f GROUP BY conv_id) m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.i = b.i
+    JOIN inserts s ON s.q = b.q AND s.upto IN (0, 3)
+    QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + 5 * n, audit || repeat('I', n)) = 1),
+letters AS (SELECT conv_id, unnest(string_split(audit, '')) AS letter, unnest(range(1, length(audit) + 1)) AS j FROM ends WHERE audit <> ''),
+placed AS (
+    SELECT *, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS nth
+    FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY j ROWS UNBOUNDED PRECEDING)),
+shown AS (
+    SELECT p.conv_id, p.j, p.letter, p.nth, f.role, f.text,
+           max(CASE WHEN p.nth = 1 AND p.letter = 'K' AND f.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.conv_id) AS s
+    FROM placed p LEFT JOIN f ON p.letter <> 'I' AND f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i
+    WHERE p.letter <> 'D'),
+lines AS (
+    SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (nth - s) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                               || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS whole
+    FROM shown GROUP BY conv_id),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM f GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM c.conv_id""",
 }
