@@ -5,6 +5,11 @@ ours: an ordered list of (test pattern, name, version pattern) evaluated as
 one native CASE expression, first match wins.  Unknown agents give the name
 ``Unknown`` and a NULL version.  Versions are the full dotted token; '_' in OS
 versions is printed as '.'.
+
+An agent comes from outside and may be of any length, so every pattern runs in
+time proportional to it and without recursion: no repeated groups that can backtrack
+(Java's matcher calls itself once per repetition), and no ``.*`` after a token
+that may occur many times.
 """
 
 from __future__ import annotations
@@ -14,31 +19,34 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
 
-# Browser rules in priority order.  ``name`` None means "take the
-# name from group 1 of the version pattern" (crawlers name themselves; a
-# crawler's token ends in '/', ';', ')' or the text, which a phone model with
-# "bot" in its name does not; words before it belong to the name).
-# (test pattern, name, version pattern)
+# A crawler's token ends in '/', ';', ')' or the text (a phone model with "bot" in its name does not);
+# words before it belong to its name.
+CRAWLER = r"(?i)(?:bot|spider|crawler)(?:[/;)]|\z)"
+UPTO_CRAWLER = r"(?is)^(.*?(?:bot|spider|crawler))(?=[/;)]|\z)"
+# read backwards from the token, possessive: nothing is tried twice
+NAME_BACKWARDS = r"(?i)^[a-z0-9_-]*+(?: [a-z]++)*+"
+
+# Browser rules in priority order.  ``name`` None means that the agent names itself.
+# (first token as a pattern, literal that must come later or None, name, version pattern)
 BROWSER_RULES = [
-    (r"(?i)(?:bot|spider|crawler)(?:[/;)]|$)", None,
-     r"(?i)((?:[a-z]+ )*[a-z0-9_-]*(?:bot|spider|crawler))(?=[/;)]|$)/?([0-9.]*)"),
-    (r"Edg(e|A|iOS)?/", "Edge", r"Edg(?:e|A|iOS)?/([0-9.]+)"),
-    (r"OPR/", "Opera", r"OPR/([0-9.]+)"),
-    (r"CriOS/", "Chrome", r"CriOS/([0-9.]+)"),
-    (r"Chrome/", "Chrome", r"Chrome/([0-9.]+)"),
-    (r"Firefox/", "Firefox", r"Firefox/([0-9.]+)"),
-    (r"Version/[0-9.]+.*Safari/", "Safari", r"Version/([0-9.]+)"),
-    (r"MSIE ", "IE", r"MSIE ([0-9.]+)"),
-    (r"Trident/.*rv:", "IE", r"rv:([0-9.]+)"),
+    (CRAWLER, None, None, r"^/?([0-9.]*+)"),
+    (r"Edg(e|A|iOS)?/", None, "Edge", r"Edg(?:e|A|iOS)?/([0-9.]+)"),
+    (r"OPR/", None, "Opera", r"OPR/([0-9.]+)"),
+    (r"CriOS/", None, "Chrome", r"CriOS/([0-9.]+)"),
+    (r"Chrome/", None, "Chrome", r"Chrome/([0-9.]+)"),
+    (r"Firefox/", None, "Firefox", r"Firefox/([0-9.]+)"),
+    (r"Version/[0-9.]", "Safari/", "Safari", r"Version/([0-9.]+)"),
+    (r"MSIE ", None, "IE", r"MSIE ([0-9.]+)"),
+    (r"Trident/", "rv:", "IE", r"rv:([0-9.]+)"),
 ]
 
-# OS rules in priority order (test pattern, name, version pattern or None).
+# OS rules in priority order, in the same form.
 OS_RULES = [
-    (r"Windows NT ", "Windows", r"Windows NT ([0-9.]+)"),
-    (r"iPhone OS |iPad; CPU OS ", "iOS", r"OS ([0-9_]+)"),
-    (r"Android", "Android", r"Android ([0-9.]+)"),
-    (r"Mac OS X", "Mac OS X", r"Mac OS X ([0-9_.]+)"),
-    (r"Linux", "Linux", None),
+    (r"Windows NT ", None, "Windows", r"Windows NT ([0-9.]+)"),
+    (r"iPhone OS |iPad; CPU OS ", None, "iOS", r"OS ([0-9_]+)"),
+    (r"Android", None, "Android", r"Android ([0-9.]+)"),
+    (r"Mac OS X", None, "Mac OS X", r"Mac OS X ([0-9_.]+)"),
+    (r"Linux", None, "Linux", None),
 ]
 
 
@@ -47,15 +55,34 @@ def _version(ua: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_replace(v, "_", "."), F.lit(""))
 
 
+def _matches(ua: Column, token: str, later: str | None) -> Column:
+    """The token occurs, and ``later`` after its first occurrence (after any other it is after the first)."""
+    if later is None:
+        return ua.rlike(token)
+    at = F.regexp_instr(ua, F.lit(token))
+    return (at > 0) & (F.locate(later, F.substring(ua, at, F.length(ua))) > 0)
+
+
+def _crawler_text(ua: Column) -> Column:
+    """The agent up to the end of its crawler token."""
+    return F.regexp_extract(ua, UPTO_CRAWLER, 1)
+
+
+def _crawler_name(ua: Column) -> Column:
+    name = F.reverse(F.regexp_extract(F.reverse(_crawler_text(ua)), NAME_BACKWARDS, 0))
+    return F.coalesce(F.nullif(name, F.lit("")), F.lit(UNKNOWN))
+
+
 def _rule_index(ua: Column, rules) -> Column:
-    """Index of the first rule whose test matches, NULL if none.
+    """Index of the first rule that matches, NULL if none.
 
     Evaluated once per row; name and version then branch on a small int, so
     each row runs the test patterns only until the first hit.
     """
     expr = None
-    for i, (test, *_rest) in enumerate(rules):
-        expr = F.when(ua.rlike(test), F.lit(i)) if expr is None else expr.when(ua.rlike(test), F.lit(i))
+    for i, (token, later, *_rest) in enumerate(rules):
+        test = _matches(ua, token, later)
+        expr = F.when(test, F.lit(i)) if expr is None else expr.when(test, F.lit(i))
     return expr
 
 
@@ -68,26 +95,25 @@ def _by_index(idx: Column, values: list[Column], default: Column) -> Column:
 
 def browser_name(ua: Column, idx: Column | None = None) -> Column:
     idx = _rule_index(ua, BROWSER_RULES) if idx is None else idx
-    names = [F.lit(name) if name is not None
-             else F.coalesce(F.nullif(F.regexp_extract(ua, vpat, 1), F.lit("")), F.lit(UNKNOWN))
-             for _, name, vpat in BROWSER_RULES]
+    names = [F.lit(name) if name is not None else _crawler_name(ua) for _, _, name, _ in BROWSER_RULES]
     return _by_index(idx, names, F.lit(UNKNOWN))
 
 
 def browser_version(ua: Column, idx: Column | None = None) -> Column:
     idx = _rule_index(ua, BROWSER_RULES) if idx is None else idx
-    versions = [_version(ua, vpat, 2 if name is None else 1) for _, name, vpat in BROWSER_RULES]
+    after_name = F.substring(ua, F.length(_crawler_text(ua)) + 1, F.length(ua))
+    versions = [_version(ua if name is not None else after_name, vpat) for _, _, name, vpat in BROWSER_RULES]
     return _by_index(idx, versions, F.lit(None).cast("string"))
 
 
 def os_name(ua: Column, idx: Column | None = None) -> Column:
     idx = _rule_index(ua, OS_RULES) if idx is None else idx
-    return _by_index(idx, [F.lit(name) for _, name, _ in OS_RULES], F.lit(UNKNOWN))
+    return _by_index(idx, [F.lit(name) for _, _, name, _ in OS_RULES], F.lit(UNKNOWN))
 
 
 def os_version(ua: Column, idx: Column | None = None) -> Column:
     idx = _rule_index(ua, OS_RULES) if idx is None else idx
-    versions = [_version(ua, vpat) if vpat else F.lit(None).cast("string") for _, _, vpat in OS_RULES]
+    versions = [_version(ua, vpat) if vpat else F.lit(None).cast("string") for _, _, _, vpat in OS_RULES]
     return _by_index(idx, versions, F.lit(None).cast("string"))
 
 
