@@ -6,8 +6,8 @@ entry points):
     python -m loglark.jobs counters --files <dir> | --kafka host:port --topic t
                                     --deltas <dir> --checkpoint <dir> --quarantine <dir>
     python -m loglark.jobs windows --files <dir> --size '1 hour' --out <dir> --checkpoint <dir>
-                                    --quarantine <dir>
-    python -m loglark.jobs compact --deltas <dir> --upto <batch id>
+                                    --quarantine <dir> [--late <dir>] [--dedup]
+    python -m loglark.jobs compact --deltas <dir> [--upto <batch id>] [--drop-folded]
     python -m loglark.jobs products --input <text> --out <dir>
 
 Paths are any URI the cluster can read (HDFS, object store).  The geo table
@@ -29,9 +29,9 @@ from loglark.schemas import ACCESS_TABLE_WITH_DAY, GEO_RANGE
 from loglark.session import get_session
 from loglark.sinks.records import show
 from loglark.sinks.tables import read_day_table, replace_day
-from loglark.streaming.counters import compact_deltas, start_order_counters
+from loglark.streaming.counters import compact_deltas, drop_folded, start_order_counters
 from loglark.streaming.sources import order_stream_from_files, order_stream_from_kafka
-from loglark.streaming.windows import start_order_quarantine, start_windowed_orders
+from loglark.streaming.windows import start_order_quarantine, start_order_windows, start_windowed_orders
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -68,16 +68,20 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--available-now", action="store_true", help="process what exists, then stop")
         if name == "counters":
             c.add_argument("--deltas", required=True)
+            c.add_argument("--compact-every", type=int, help="fold the deltas, and drop the folded ones, every so many batches")
         else:
             c.add_argument("--out", required=True)
             c.add_argument("--size", default="1 hour")
             c.add_argument("--slide")
             c.add_argument("--watermark", default="10 minutes")
+            c.add_argument("--late", help="keep late orders: they add to their window and are written here")
+            c.add_argument("--dedup", action="store_true", help="count an order id once within the watermark")
             c.add_argument("--state-partitions", type=int, help="state store partitions (first start only)")
 
     k = sub.add_parser("compact", help="fold finished counter deltas into one compaction")
     k.add_argument("--deltas", required=True)
-    k.add_argument("--upto", type=int, required=True, help="last finished batch id to fold")
+    k.add_argument("--upto", type=int, help="last batch id to fold; all finished ones when absent")
+    k.add_argument("--drop-folded", action="store_true", help="delete deltas and compactions that are no longer needed")
 
     r = sub.add_parser("products", help="'name price store' lines -> ranked by price, then stock")
     r.add_argument("--input", required=True)
@@ -93,6 +97,19 @@ def _stream_source(spark: SparkSession, args):
                                    min_partitions=args.min_partitions)
 
 
+def _await_both(*queries) -> None:
+    """Wait until all queries end; if one fails, stop the others and raise, so that none runs on unwatched."""
+    try:
+        while any(q.isActive for q in queries):
+            for q in queries:
+                q.awaitTermination(1)
+        for q in queries:
+            q.awaitTermination()
+    finally:
+        for q in queries:
+            q.stop()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = spark or get_session(app=f"loglark-{args.job}")
@@ -114,18 +131,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         records = _stream_source(spark, args)
         if args.job == "counters":
             q = start_order_counters(records, args.deltas, args.checkpoint, args.quarantine,
-                                     processing_time=args.interval, available_now=args.available_now)
+                                     processing_time=args.interval, available_now=args.available_now,
+                                     compact_every=args.compact_every)
+        elif args.late:
+            if args.dedup:
+                raise SystemExit("--dedup keeps its ids in the window state, which --late does without")
+            q = start_order_windows(records, args.out, args.late, args.quarantine, args.checkpoint, args.size, args.slide,
+                                    args.watermark, available_now=args.available_now, processing_time=args.interval)
         else:
             q = start_windowed_orders(records, args.out, args.checkpoint, args.size, args.slide, args.watermark,
                                       available_now=args.available_now, processing_time=args.interval,
-                                      state_partitions=args.state_partitions)
+                                      state_partitions=args.state_partitions, dedup_orders=args.dedup)
             bad = start_order_quarantine(_stream_source(spark, args), args.quarantine, args.checkpoint.rstrip("/") + "-quarantine",
                                          available_now=args.available_now, processing_time=args.interval)
-            bad.awaitTermination() if args.available_now else None
+            _await_both(q, bad)
+            return
         q.awaitTermination()
 
     elif args.job == "compact":
         compact_deltas(spark, args.deltas, args.upto)
+        if args.drop_folded:
+            drop_folded(spark, args.deltas)
 
     elif args.job == "products":
         ranked = ranked_products(parse_products(spark.read.text(args.input)),

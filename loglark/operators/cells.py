@@ -160,9 +160,58 @@ def scan_range(cells: DataFrame, start: str, stop: str) -> DataFrame:
     return cells.where((F.col("rowkey") >= start) & (F.col("rowkey") < stop))
 
 
+def key_prefixes(pattern: str, most: int = 64) -> list[str]:
+    """The literal beginnings of which every key that matches ``pattern`` has one; empty if none is certain.
+
+    Reads ``^`` and then plain characters, escaped punctuation and small character classes up to the
+    first thing that may match more than one text (a group, a dot, a repetition).  A pattern
+    with an alternative is not read.
+    """
+    if not pattern.startswith("^") or "|" in pattern:
+        return []
+    found, i = [""], 1
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "[":
+            end = pattern.find("]", i + 1)
+            members = _class_members(pattern[i + 1:end]) if end > 0 else None
+            step = end + 1 - i
+        elif c == "\\" and i + 1 < len(pattern) and not pattern[i + 1].isalnum():
+            members, step = [pattern[i + 1]], 2
+        elif c.isalnum() or c in "_-:#/%@=,;<>~!'\" ":
+            members, step = [c], 1
+        else:
+            break
+        after = pattern[i + step:i + step + 1]
+        if members is None or after in ("?", "*", "{") or len(found) * len(members) > most:
+            break
+        found, i = [f + m for f in found for m in members], i + step
+        if after == "+":
+            break
+    return found if found != [""] else []
+
+
+def _class_members(body: str) -> list[str] | None:
+    """The characters of ``[body]``: letters, digits, ``_`` and ranges of them; None for anything else."""
+    plain = lambda c: c.isascii() and (c.isalnum() or c == "_")
+    out, i = [], 0
+    while i < len(body):
+        first = last = body[i]
+        if body[i + 1:i + 2] == "-" and i + 2 < len(body):
+            last, i = body[i + 2], i + 2
+        if not (plain(first) and plain(last)):
+            return None
+        out += [chr(c) for c in range(ord(first), ord(last) + 1)]
+        i += 1
+    return sorted(set(out)) or None
+
+
 def scan_regex(cells: DataFrame, pattern: str) -> DataFrame:
-    """rows whose key matches a regular expression (not pushed down)."""
-    return cells.where(F.col("rowkey").rlike(pattern))
+    """rows whose key matches a regular expression.  The literal beginnings of the pattern are
+    filters of their own, which Parquet evaluates (``StringStartsWith``), so row groups of other keys are skipped."""
+    hit = F.col("rowkey").rlike(pattern)
+    prefixes = key_prefixes(pattern)
+    return scan_prefix_any(cells, prefixes).where(hit) if prefixes else cells.where(hit)
 
 
 def scan_prefix(cells: DataFrame, prefix: str) -> DataFrame:
@@ -189,8 +238,8 @@ def list_families(cells: DataFrame) -> DataFrame:
 
 def create_table_if_missing(spark: SparkSession, path: str) -> DataFrame:
     """An empty cell table at ``path`` unless one exists; returns it."""
-    try:
-        return spark.read.schema(CELL).parquet(path)
-    except Exception:  # noqa: BLE001 - missing path
+    from loglark.sinks.tables import table_exists
+
+    if not table_exists(spark, path):
         spark.createDataFrame([], CELL).write.mode("ignore").parquet(path)
-        return spark.read.schema(CELL).parquet(path)
+    return spark.read.schema(CELL).parquet(path)

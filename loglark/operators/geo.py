@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from loglark.functions.ipaddr import ip_to_long
 from loglark.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from loglark.session import ensure_checkpoint_dir
 
 BUCKET = 65536
 GEO_COLS = ("country", "province", "city")
@@ -76,3 +77,37 @@ def enrich_geo(df: DataFrame, geo: DataFrame, ip_col: str = "ip",
     joined = left.join(g, cond, "left")
     keep = [F.col(c) for c in left.columns if c not in ("_ipn", "_ipb", "_salt")]
     return joined.select(*keep, *[F.col("_g." + c).alias(c) for c in GEO_COLS])
+
+
+def enrich_geo_sorted(df: DataFrame, geo: DataFrame, ip_col: str = "ip") -> DataFrame:
+    """``enrich_geo`` without a broadcast table, buckets or salt: a sort-merge interval join.
+
+    Range starts and addresses are put in one order by a range partitioning on the number; the last
+    start at or before an address is the only range that can hold it (ranges do not overlap),
+    and it is carried on by a running window.  A task whose first addresses lie before its first
+    start takes over the last start of the tasks before it: one row per task.  An address
+    on a third of all rows is cut into several ranges by the rows' places in the input.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    left = df.drop(*[c for c in GEO_COLS if c in df.columns])
+    place = F.struct(F.col("lo").alias("lo"), F.col("hi"), *[F.col(c) for c in GEO_COLS])
+    row = F.struct(*[F.col("`" + c + "`").alias(c) for c in left.columns])
+    row_type, place_type = left.select(row.alias("r")).schema["r"].dataType, geo.select(place.alias("p")).schema["p"].dataType
+    starts = geo.select(F.col("lo").alias("k"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("at"),
+                        place.alias("place"), F.lit(None).cast(row_type).alias("row"))
+    points = left.select(ip_to_long(F.col(ip_col)).alias("k"), F.lit(1).alias("kind"), F.monotonically_increasing_id().alias("at"),
+                         F.lit(None).cast(place_type).alias("place"), row.alias("row"))
+    order = ["k", "kind", "at"]
+    # the two passes below must see one cut into ranges: cut once, in the shared folder
+    runs = (starts.unionByName(points).repartitionByRange(*order).withColumn("run", F.spark_partition_id()).checkpoint(eager=True))
+    ends = runs.where("kind = 0").groupBy("run").agg(F.max("place").alias("end"))
+    every = runs.select("run").distinct().join(ends, "run", "left")  # one row per task of the range partitioning
+    carried = every.select("run", F.last("end", ignorenulls=True).over(
+        Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
+    within = Window.partitionBy("run").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (runs.withColumn("own", F.last("place", ignorenulls=True).over(within)).where("kind = 1")
+                 .join(F.broadcast(carried), "run").select("row", "k", F.coalesce("own", "carried").alias("p")))
+    hit = F.col("k") <= F.col("p.hi")
+    return found.select(*[F.col("row").getField(c).alias(c) for c in left.columns],
+                        *[F.when(hit, F.col("p").getField(c)).alias(c) for c in GEO_COLS])

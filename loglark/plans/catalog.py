@@ -17,18 +17,21 @@ from pyspark.sql import functions as F
 from loglark.operators import cells as kv
 from loglark.operators import order_metrics as om
 from loglark.operators import traffic
+from loglark.operators.geo import enrich_geo_sorted
 from loglark.operators.ranking import global_row_number, parse_products, ranked_products
 from loglark.operators.wordcount import word_count
 from loglark.plans.etl import clean_access, run_access_etl, stored_rows
 from loglark.schemas import ACCESS_TABLE_WITH_DAY, CELL, STORED_FIELDS
 from loglark.session import ensure_checkpoint_dir, new_scratch
+from loglark.sinks.keyed import KeyedTable
 from loglark.sinks.tables import read_day_table, replace_day, replace_days, write_sorted_cells
 from loglark.sources import adapters
 from loglark.sources.access_log import good_rows, parse_lines, quarantined
 from loglark.sources.orders import order_facts, parse_order_json
 from loglark.streaming import counters as sc
 from loglark.streaming.sources import order_stream_from_files
-from loglark.streaming.windows import start_windowed_orders, window_view
+from loglark.streaming.state import window_state
+from loglark.streaming.windows import start_order_windows, start_windowed_orders, window_totals, window_view
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -258,6 +261,68 @@ def q_stream_windows_tumbling(spark, d):
     return window_view(spark, root + "/out")
 
 
+def _late_windows(spark, d):
+    """Order files in hash order (so times jump) through the windows that keep late orders, 10-minute watermark."""
+    root = new_scratch(spark, "stream-late")
+    src = root + "/source"
+    order_records(spark, d).repartition(STREAM_FILES, F.xxhash64("value")).write.text(src)
+    start_order_windows(order_stream_from_files(spark, src, max_files_per_trigger=1), root + "/out", root + "/late", root + "/bad",
+                        root + "/checkpoint", "1 hour", available_now=True).awaitTermination()
+    return root
+
+
+def q_stream_windows_late(spark, d):
+    """Hourly windows to which late orders still add."""
+    return window_totals(spark, _late_windows(spark, d) + "/out").drop("late")
+
+
+def q_stream_late_balance(spark, d):
+    """Every record is on time, late (in the late output too) or bad."""
+    root = _late_windows(spark, d)
+    count = lambda df, name: df.select(F.lit(name).alias("kind"), F.lit(1).cast("bigint").alias("n"))
+    kinds = window_totals(spark, root + "/out").select(F.lit("on_time").alias("kind"), (F.col("total") - F.col("late")).alias("n"))
+    kinds = kinds.unionByName(count(spark.read.parquet(root + "/late"), "late")).unionByName(count(spark.read.parquet(root + "/bad"), "bad"))
+    kinds = kinds.unionByName(count(spark.read.text(root + "/source"), "input"))
+    counted = window_totals(spark, root + "/out").select(F.lit("late_in_windows").alias("kind"), F.col("late").alias("n"))
+    of = lambda *names: F.coalesce(F.sum(F.when(F.col("kind").isin(*names), F.col("n"))), F.lit(0)).cast("bigint")
+    return kinds.unionByName(counted).agg(
+        of("input").alias("input"), of("on_time", "late", "bad").alias("accounted"),
+        (of("late") == of("late_in_windows")).alias("late_rows_agree"), (of("late") > 0).alias("some_late"))
+
+
+def _dedup_windows(spark, d):
+    root = new_scratch(spark, "stream-dedup")
+    src = root + "/source"
+    for _ in range(2):  # every record is delivered twice
+        order_records(spark, d).repartition(3).write.mode("append").text(src)
+    start_windowed_orders(order_stream_from_files(spark, src, max_files_per_trigger=2), root + "/out", root + "/checkpoint", "1 hour",
+                          watermark=STREAM_WATERMARK, available_now=True, state_partitions=STREAM_STATE_PARTITIONS,
+                          dedup_orders=True).awaitTermination()
+    return root
+
+
+def q_stream_windows_dedup(spark, d):
+    """X7 with order ids counted once: the windows of records that all come twice."""
+    return window_view(spark, _dedup_windows(spark, d) + "/out")
+
+
+def q_stream_window_state(spark, d):
+    """The window state of the checkpoint itself, after the last commit was lost and the batch ran again."""
+    root = new_scratch(spark, "stream-state")
+    order_records(spark, d).repartition(3).write.text(root + "/source")
+
+    def run():
+        start_windowed_orders(order_stream_from_files(spark, root + "/source", max_files_per_trigger=1), root + "/out",
+                              root + "/checkpoint", "1 hour", watermark=STREAM_WATERMARK, available_now=True,
+                              state_partitions=STREAM_STATE_PARTITIONS).awaitTermination()
+
+    run()
+    last = spark._jvm.org.apache.hadoop.fs.Path(root + "/checkpoint/commits/2")
+    last.getFileSystem(spark._jsc.hadoopConfiguration()).delete(last, False)
+    run()
+    return window_state(spark, root + "/checkpoint")
+
+
 def q_stream_counters_restart(spark, d):
     """Stop after the last batch, lose its commit record, start again from
     the same checkpoint: the last batch runs a second time and counts once."""
@@ -345,6 +410,11 @@ def q_geo_enrich(spark, d):
     return clean_log(spark, d).select("ip", "country", "province", "city")
 
 
+def q_geo_enrich_sorted(spark, d):
+    """J1 as a sort-merge interval join: no broadcast table, no buckets."""
+    return enrich_geo_sorted(good_rows(parsed_log(spark, d)).select("ip"), geo(spark, d))
+
+
 def q_geo_unmatched(spark, d):
     return clean_log(spark, d).where(F.col("country").isNull()).select("ip")
 
@@ -438,6 +508,33 @@ def q_cells_update(spark, d):
     return kv.latest_cells(old.unionByName(new)).select("rowkey", "family", "qualifier", "value")
 
 
+def keyed_cells(spark, d) -> KeyedTable:
+    """The access cells as a stored keyed table, put in two halves that overlap in one day."""
+    table = KeyedTable(spark, new_scratch(spark, "keyed-cells"), CELL, ["rowkey", "family", "qualifier"], "ts")
+    cells = cell_store(spark, d)
+    table.put(cells.where(F.col("rowkey") < REPLACED_DAY + "~"))
+    table.put(cells.where(F.col("rowkey") >= REPLACED_DAY).withColumn("ts", F.col("ts") + 1))
+    return table
+
+
+def q_keyed_update(spark, d):
+    """K1/T2 stored: two puts and an update of one column of a key range, merged on read."""
+    table = keyed_cells(spark, d)
+    hit = F.col("rowkey").between(*KV_RANGE) & (F.col("qualifier") == "city")
+    table.update(hit, {"value": F.lit("moved")}, F.col("ts") + 1)
+    return table.read().select("rowkey", "family", "qualifier", "value")
+
+
+def q_keyed_compacted(spark, d):
+    """K1 stored: the same table after compaction, its old runs deleted; the last put comes after."""
+    table = keyed_cells(spark, d)
+    table.compact()
+    table.vacuum()
+    hit = F.col("rowkey").between(*KV_RANGE) & (F.col("qualifier") == "city")
+    table.update(hit, {"value": F.lit("moved")}, F.col("ts") + 1)
+    return table.read().where(F.col("rowkey").between(*KV_RANGE)).select("rowkey", "family", "qualifier", "value")
+
+
 def q_kv_range_scan(spark, d):
     return kv.scan_range(cell_store(spark, d), *KV_RANGE).select("rowkey", "family", "qualifier", "value")
 
@@ -559,6 +656,10 @@ QUERIES: dict[str, QueryFn] = {
     "orders_window_sliding": q_orders_window_sliding,
     "stream_counters_files": q_stream_counters_files,
     "stream_windows_tumbling": q_stream_windows_tumbling,
+    "stream_windows_late": q_stream_windows_late,
+    "stream_late_balance": q_stream_late_balance,
+    "stream_window_state": q_stream_window_state,
+    "stream_windows_dedup": q_stream_windows_dedup,
     "stream_counters_replay": q_stream_counters_replay,
     "stream_counters_restart": q_stream_counters_restart,
     "stream_counters_compacted": q_stream_counters_compacted,
@@ -572,6 +673,7 @@ QUERIES: dict[str, QueryFn] = {
     "user_agent_stats": q_user_agent_stats,
     "browser_version_stats": q_browser_version_stats,
     "geo_enrich": q_geo_enrich,
+    "geo_enrich_sorted": q_geo_enrich_sorted,
     "geo_unmatched": q_geo_unmatched,
     "region_visits": q_region_visits,
     "region_top10": q_region_top10,
@@ -590,6 +692,8 @@ QUERIES: dict[str, QueryFn] = {
     "kv_multi_get": q_kv_multi_get,
     "kv_scan_from": q_kv_scan_from,
     "cells_update": q_cells_update,
+    "keyed_update": q_keyed_update,
+    "keyed_compacted": q_keyed_compacted,
     "kv_range_scan": q_kv_range_scan,
     "kv_prefix_any": q_kv_prefix_any,
     "kv_row_regex": q_kv_row_regex,

@@ -245,6 +245,10 @@ ORACLE: dict[str, str] = {
     "orders_window_sliding": _WINDOW_SLIDING,
     "stream_counters_files": _HASH_COUNTERS,
     "stream_windows_tumbling": _WINDOW_TUMBLING,
+    "stream_windows_late": _WINDOW_TUMBLING,
+    "stream_window_state": _WINDOW_TUMBLING,
+    "stream_windows_dedup": _WINDOW_TUMBLING,
+    "stream_late_balance": "SELECT count(*) AS input, count(*) AS accounted, true AS late_rows_agree, true AS some_late FROM events",
     "stream_counters_replay": _HASH_COUNTERS,
     "stream_counters_restart": _HASH_COUNTERS,
     "stream_counters_compacted": _HASH_COUNTERS,
@@ -259,6 +263,7 @@ ORACLE: dict[str, str] = {
     "user_agent_stats": _visits("browsername, browserversion, osname, osversion"),
     "browser_version_stats": _visits("browsername, browserversion"),
     "geo_enrich": f"WITH {_A} SELECT ip, country, province, city FROM GG",
+    "geo_enrich_sorted": f"WITH {_A} SELECT ip, country, province, city FROM GG",
     "geo_unmatched": f"WITH {_A} SELECT ip FROM GG WHERE country IS NULL",
     "region_visits": _visits("country, province"),
     "region_top10": f"""WITH {_A},{_T},
@@ -296,6 +301,11 @@ ORACLE: dict[str, str] = {
     "cells_update": f"""{_WITH_T},{_CT} SELECT rowkey, family, qualifier,
         CASE WHEN qualifier = 'city' THEN 'moved' ELSE value END AS value FROM CT
         WHERE rowkey >= '20240105' AND rowkey < '20240108'""",
+    "keyed_update": f"""{_WITH_T},{_CT} SELECT rowkey, family, qualifier,
+        CASE WHEN qualifier = 'city' AND rowkey >= '20240105' AND rowkey < '20240108' THEN 'moved' ELSE value END AS value FROM CT""",
+    "keyed_compacted": f"""{_WITH_T},{_CT} SELECT rowkey, family, qualifier,
+        CASE WHEN qualifier = 'city' THEN 'moved' ELSE value END AS value FROM CT
+        WHERE rowkey >= '20240105' AND rowkey < '20240108'""",
     "kv_range_scan": f"{_WITH_T},{_CT} {_CELLS} WHERE rowkey >= '20240105' AND rowkey < '20240108'",
     "kv_prefix_any": f"""{_WITH_T},{_CT} {_CELLS}
         WHERE starts_with(rowkey, '20240103_') OR starts_with(rowkey, '20240117_')""",

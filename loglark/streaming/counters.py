@@ -6,6 +6,11 @@ retried after a failure, or replayed from the checkpoint, rewrites the same
 directory, so it cannot count twice.  The running counters are a read view:
 the sum of all deltas, rolled up to the day and hour keys of D13/D14.
 
+Deltas are folded by ``compact_deltas`` into ``<deltas>_compacted/upto=<id>``: the totals
+of all batches 0 to id, without a gap.  A batch that has not ended, or that is not there yet, ends the
+fold, so a batch that comes later is above it and counts.  ``drop_folded`` then deletes
+what no reader needs any more, so the number of folders stays bounded however long the stream runs.
+
 A new checkpoint restarts batch ids at 0, so it needs a new delta directory
 (or a full replay of the same input, which rewrites every batch id).
 """
@@ -27,9 +32,10 @@ DELTA_WITH_BATCH = T.StructType(ORDER_DELTA.fields + [T.StructField("batch_id",
 class OrderCounterSink:
     """``foreachBatch`` function: parse once, write deltas and quarantine."""
 
-    def __init__(self, delta_path: str, quarantine_path: str | None = None):
+    def __init__(self, delta_path: str, quarantine_path: str | None = None, compact_every: int | None = None):
         self.delta_path = delta_path.rstrip("/")
         self.quarantine_path = quarantine_path.rstrip("/") if quarantine_path else None
+        self.compact_every = compact_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         parsed = parse_order_json(batch)
@@ -45,13 +51,18 @@ class OrderCounterSink:
         finally:
             if self.quarantine_path:
                 parsed.unpersist()
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            # this batch may still be retried: fold only those before it
+            compact_deltas(batch.sparkSession, self.delta_path, batch_id - 1)
+            drop_folded(batch.sparkSession, self.delta_path)
 
 
 def start_order_counters(records: DataFrame, delta_path: str, checkpoint: str,
                          quarantine_path: str | None = None, processing_time: str | None = "5 seconds",
-                         available_now: bool = False) -> StreamingQuery:
-    """Run the counter sink on every micro-batch of ``records``."""
-    w = (records.writeStream.foreachBatch(OrderCounterSink(delta_path, quarantine_path))
+                         available_now: bool = False, compact_every: int | None = None) -> StreamingQuery:
+    """Run the counter sink on every micro-batch of ``records``; with ``compact_every`` the
+    deltas are folded, and the folded ones dropped, every so many batches."""
+    w = (records.writeStream.foreachBatch(OrderCounterSink(delta_path, quarantine_path, compact_every))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
@@ -102,27 +113,43 @@ def latest_compaction(spark: SparkSession, compact_path: str) -> int | None:
     return max(committed(spark, compact_path, "upto"), default=None)
 
 
-def compact_deltas(spark: SparkSession, delta_path: str, upto_batch: int, compact_path: str | None = None) -> None:
-    """Fold finished batches ``<= upto_batch`` into ``<compact_path>/upto=<id>``.
+def compact_deltas(spark: SparkSession, delta_path: str, upto_batch: int | None = None,
+                   compact_path: str | None = None) -> int | None:
+    """Fold finished batches into ``<compact_path>/upto=<id>``; returns the last batch folded so far.
 
-    Incremental: the previous compaction (``upto=M``) plus the deltas of
-    batches in ``(M, upto_batch]``, so delta directories at or below M may
-    already have been removed.  Readers use the highest finished ``upto`` and
-    only the deltas above it, so a replayed old batch can never count twice.
+    Batches are folded in order from the one after the previous fold, up to ``upto_batch`` and to the first that
+    is missing or has not ended.  Incremental: the previous compaction plus the deltas after it.
     """
     compact_path = compact_path or compaction_path(delta_path)
     prev = latest_compaction(spark, compact_path)
-    if prev is not None and prev >= upto_batch:
-        return
-    d = read_deltas(spark, delta_path)
-    if prev is None:
-        parts = d.where(F.col("batch_id") <= upto_batch).drop("batch_id")
-    else:
-        base = spark.read.schema(ORDER_DELTA).parquet(f"{compact_path.rstrip('/')}/upto={prev}")
-        parts = base.unionByName(
-            d.where((F.col("batch_id") > prev) & (F.col("batch_id") <= upto_batch)).drop("batch_id"))
-    (metrics_by(parts, "day", "hour", "minute")
-        .write.mode("overwrite").parquet(f"{compact_path.rstrip('/')}/upto={upto_batch}"))
+    there, last = set(committed(spark, delta_path, "batch_id")), -1 if prev is None else prev
+    first = last + 1
+    while last + 1 in there and (upto_batch is None or last < upto_batch):
+        last += 1
+    if last < first:
+        return prev
+    new = read_deltas(spark, delta_path).where(F.col("batch_id").between(first, last)).drop("batch_id")
+    if prev is not None:
+        new = new.unionByName(spark.read.schema(ORDER_DELTA).parquet(f"{compact_path.rstrip('/')}/upto={prev}"))
+    (metrics_by(new, "day", "hour", "minute")
+        .write.mode("overwrite").parquet(f"{compact_path.rstrip('/')}/upto={last}"))
+    return last
+
+
+def drop_folded(spark: SparkSession, delta_path: str, compact_path: str | None = None) -> list[str]:
+    """Delete the folders that the last two compactions make needless: older compactions, and the deltas in the
+    last but one (a reader that began before the last one still finds all it needs).  Returns their names."""
+    compact_path = compact_path or compaction_path(delta_path)
+    folds = committed(spark, compact_path, "upto")
+    if len(folds) < 2:
+        return []
+    gone = [f"{compact_path.rstrip('/')}/upto={n}" for n in folds[:-2]]
+    gone += [f"{delta_path.rstrip('/')}/batch_id={n}" for n in committed(spark, delta_path, "batch_id") if n <= folds[-2]]
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(delta_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in gone:
+        fs.delete(path(name), True)
+    return gone
 
 
 def minute_totals_compacted(spark: SparkSession, delta_path: str, compact_path: str,

@@ -122,3 +122,38 @@ def test_views_read_the_compaction_and_damage_is_an_error(spark):
             out.close()
     with pytest.raises((PySparkException, Py4JJavaError)):
         sc.compact_deltas(spark, root + "/deltas", 5)
+
+
+def _order(minute, fee):
+    return ('{"time":"2019013012%02d00","userid":"1","courseid":"1","orderid":"%d","fee":"%d","flag":"1"}' % (minute, minute, fee))
+
+
+def _total_fee(spark, deltas):
+    return sum(r.fee for r in sc.minute_totals(spark, deltas).collect())
+
+
+def test_batches_that_come_after_a_fold_count(spark):
+    """Fold "up to 5" when 0 and 1 are there; 2 and 3 come later, 3 before 2."""
+    deltas = new_scratch(spark, "test-late-batches") + "/deltas"
+    sink = sc.OrderCounterSink(deltas)
+    put = lambda i, fee: sink(spark.createDataFrame([(_order(i, fee),)], "value string"), i)
+    put(0, 3)
+    put(1, 4)
+    assert sc.compact_deltas(spark, deltas, 5) == 1 and _total_fee(spark, deltas) == 7
+    put(3, 20)
+    assert sc.compact_deltas(spark, deltas, 5) == 1 and _total_fee(spark, deltas) == 27  # 2 is missing: 3 waits
+    put(2, 10)
+    assert _total_fee(spark, deltas) == 37
+    assert sc.compact_deltas(spark, deltas) == 3 and _total_fee(spark, deltas) == 37
+    assert len(sc.drop_folded(spark, deltas)) == 2 and _total_fee(spark, deltas) == 37
+    put(0, 3)  # a replay below the fold
+    assert _total_fee(spark, deltas) == 37
+
+
+def test_folder_count_stays_bounded(spark):
+    deltas = new_scratch(spark, "test-bounded") + "/deltas"
+    sink = sc.OrderCounterSink(deltas, compact_every=3)
+    for i in range(14):
+        sink(spark.createDataFrame([(_order(i, 1),)], "value string"), i)
+        assert _total_fee(spark, deltas) == i + 1
+        assert len(sc.committed(spark, deltas, "batch_id")) <= 7 and len(sc.committed(spark, sc.compaction_path(deltas), "upto")) <= 3
