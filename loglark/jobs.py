@@ -2,6 +2,8 @@
 entry points):
 
     python -m loglark.jobs etl --day 20190130 --input '<logs>/20190130/*' --table <access> --geo <ranges>
+    python -m loglark.jobs etl --days 20190129 20190130 --input '<logs>/*/*' --table <access> --geo <ranges>   (backfill)
+    python -m loglark.jobs etl --first-load --input '<logs>/*/*' --table <access> --geo <ranges>
     python -m loglark.jobs analysis --day 20190130 --table <access> --out <browser_stat>
     python -m loglark.jobs counters --files <dir> | --kafka host:port --topic t
                                     --deltas <dir> --checkpoint <dir> --quarantine <dir>
@@ -39,8 +41,11 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="job", required=True)
 
     e = sub.add_parser("etl", help="one day of access logs -> the day table (replaced)")
-    e.add_argument("--day", required=True, help="yyyyMMdd; the table partition written")
-    e.add_argument("--input", required=True, help="glob of the day's log files")
+    which = e.add_mutually_exclusive_group(required=True)
+    which.add_argument("--day", help="yyyyMMdd; all input becomes this partition")
+    which.add_argument("--days", nargs="+", help="backfill: each record goes to its own day, and only these days are replaced")
+    which.add_argument("--first-load", action="store_true", help="all days of the input, into a table that does not exist yet")
+    e.add_argument("--input", required=True, help="glob of the log files")
     e.add_argument("--table", required=True)
     e.add_argument("--geo", required=True, help="Parquet geo ranges")
     e.add_argument("--key", default="md5", choices=["crc32", "md5"],
@@ -116,7 +121,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
 
     if args.job == "etl":
         geo = spark.read.schema(GEO_RANGE).parquet(args.geo)
-        run_access_etl(spark, args.input, args.table, args.day, geo, args.key, args.zone)
+        run_access_etl(spark, args.input, args.table, args.day, geo, args.key, args.zone, days=args.days)
 
     elif args.job == "analysis":
         day = read_day_table(spark, args.table, ACCESS_TABLE_WITH_DAY, [args.day])

@@ -9,6 +9,7 @@ aggregation first.  Quarantined lines are written next to the table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,13 +57,12 @@ def access_table(lines: DataFrame, geo: DataFrame, day: str | None = None, key_a
     return stored_rows(clean_access(parsed, geo, day, key_algo, broadcast_rows))
 
 
-def staged_lines(lines: DataFrame, zone: str = DEFAULT_ZONE) -> tuple[DataFrame, DataFrame]:
+def staged_lines(lines: DataFrame, path: str, zone: str = DEFAULT_ZONE) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with their line) after one pass over the raw text:
-    the parse is written once to the shared scratch folder, split by outcome,
+    the parse is written once to ``path``, split by outcome,
     and both outputs read their part of it."""
     spark = lines.sparkSession
     parsed = parse_lines(lines, zone=zone, keep_line=True)
-    path = new_scratch(spark, "access-staged")
     bad = F.col("_reason").isNotNull()
     staged = parsed.withColumn("line", F.when(bad, F.col("line"))).withColumn("_bad", bad.cast("int"))
     staged.write.partitionBy("_bad").parquet(path)
@@ -81,18 +81,45 @@ def run_access_etl(spark: SparkSession, input_path: str | list[str], table_path:
 
     A backfill (``day=None``) gives every record its own day and replaces only
     the ``days`` it lists.  Records of other days (log files roll over at midnight, so
-    a day's files hold stragglers) go to ``<table>_other_days/run=<first>-<last>`` and no
-    stored day changes.  Bad lines go to their own day's quarantine if the day
+    a day's files hold stragglers) go to ``<table>_other_days/run=<first>-<last>-<digest>``,
+    named after its rows: a rerun finds its own folder, two backfills of the same days keep both.  No stored day changes.  Bad lines go to their own day's quarantine if the day
     is listed, else to ``day=unlisted-<first>-<last>``.  Without ``days`` the backfill is
     a first load of all days present and refuses a table that exists.
 
-    The raw text is read and parsed once.
+    The raw text is read and parsed once, into the scratch folder; that copy is deleted when all is written.
     """
     if overlapping_ranges(geo).limit(1).count() > 0:
         raise ValueError("geo ranges overlap")
     if day is None and days is None and table_exists(spark, table_path):
         raise ValueError("the table exists: list the days that the backfill replaces")
-    good, bad = staged_lines(read_access_log(spark, input_path), zone)
+    staged = new_scratch(spark, "access-staged")
+    try:
+        good, bad = staged_lines(read_access_log(spark, input_path), staged, zone)
+        _write_outputs(good, bad, table_path, day, geo, key_algo, days)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(staged)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _append_once(rows: DataFrame, root: str, name: str) -> None:
+    """Add ``rows`` to the folder as ``run=<name>-<digest of the rows>``; rows that are there already are not added again.
+    Readers do not see the copy that is being written."""
+    spark = rows.sparkSession
+    writing = f"{root}/_writing-{uuid.uuid4().hex}"
+    rows.write.parquet(writing)
+    back = spark.read.schema(rows.schema).parquet(writing)
+    n, mark = back.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64(*back.columns)), F.lit(0))).first()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    final = path(f"{root}/run={name}-{n}-{mark & (1 << 64) - 1:016x}")
+    if fs.exists(final):
+        fs.delete(path(writing), True)
+    elif not fs.rename(path(writing), final):
+        raise OSError(f"cannot name {final}")
+
+
+def _write_outputs(good: DataFrame, bad: DataFrame, table_path: str, day: str | None, geo: DataFrame, key_algo: str,
+                   days: Iterable[str] | None) -> None:
     table = stored_rows(clean_access(good, geo, day, key_algo))
     # bad lines are few and spread over every input split: rebalance them into
     # advisory-sized files instead of one small file per split
@@ -110,8 +137,9 @@ def run_access_etl(spark: SparkSession, input_path: str | list[str], table_path:
         listed = sorted(set(days))
         run = f"{listed[0]}-{listed[-1]}"
         replace_days(table, root, listed)
+        # the day is a grouping key of the dedup, so both filters go below it: no row is deduplicated twice
         other = table.where(~F.col("day").isin(listed)).hint("rebalance")
-        other.write.mode("overwrite").parquet(f"{root}_other_days/run={run}")
+        _append_once(other, root + "_other_days", run)
         bad_day = F.when(own_day.isin(listed), own_day).otherwise(F.lit(f"unlisted-{run}"))
         bad_days = [*listed, f"unlisted-{run}"]
     replace_days(lines.withColumn("day", bad_day).drop("formattime"), root + "_quarantine", bad_days)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from loglark.operators import cells as kv
+from loglark.schemas import CELL
 from loglark.session import new_scratch
 from loglark.sinks.tables import write_sorted_cells
 
@@ -83,3 +84,28 @@ def test_get_rows_salted_shuffle_path(spark, cells):
     a = rows(kv.get_rows(big, keys))
     b = rows(kv.get_rows(big, keys, max_keys=0))  # shuffle path, salted
     assert a == b and len(a) == 606
+
+
+@pytest.mark.parametrize("pattern,prefixes", [
+    ("^2024011[0-5]_[0-9a-f]*0$", [f"2024011{i}_" for i in range(6)]),
+    ("^abc", ["abc"]), ("^abc+d", ["abc"]), ("^abc?d", ["ab"]), ("^ab{2}c", ["a"]), (r"^a\.b", ["a.b"]), (r"^a\d", ["a"]),
+    ("^[ab][x-z]q", ["axq", "ayq", "azq", "bxq", "byq", "bzq"]), ("^[^a]b", []), ("^a[.]b", ["a"]), ("^a|b", []), ("abc", []),
+    ("^(?i)abc", []), ("^a.b", ["a"]), ("^", []),
+    ("^[0-9][0-9]x", [str(i) for i in range(10)]),  # a hundred would be too many
+])
+def test_key_prefixes(pattern, prefixes):
+    assert sorted(kv.key_prefixes(pattern)) == prefixes
+
+
+def test_regex_scan_pushes_its_prefixes(spark, tmp_path):
+    import re
+
+    keys = [f"202401{d:02d}_{x}" for d in range(1, 29) for x in ("a0", "b1", "")] + ["x", "2024011", "20240110_0"]
+    stored = spark.createDataFrame([(k, "o", "q", "v", 1) for k in keys], CELL)
+    stored.write.parquet(str(tmp_path / "c"))
+    cells = spark.read.schema(CELL).parquet(str(tmp_path / "c"))
+    pattern = "^2024011[0-5]_[0-9a-f]*0$"
+    got = kv.scan_regex(cells, pattern)
+    assert sorted(r.rowkey for r in got.collect()) == sorted(k for k in keys if re.search(pattern, k))
+    plan = got._jdf.queryExecution().executedPlan().toString()  # it shortens the list of pushed filters
+    assert "StartsWith(rowkey#" in plan and "ingStartsWith(rowkey,202" in plan.split("PushedFilters: ")[1]

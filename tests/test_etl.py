@@ -66,3 +66,17 @@ def test_overlapping_geo_ranges_stop_the_job(spark):
     geo = spark.createDataFrame([(16909056, 16909311, "CN", "BJ", "BJ"), (16909300, 16909400, "CN", "SH", "SH")], GEO_RANGE)
     with pytest.raises(ValueError):
         run_access_etl(spark, root + "/in", root + "/t", "20190130", geo)
+
+
+def test_two_backfills_of_the_same_days_keep_both_their_stragglers(spark):
+    root = new_scratch(spark, "test-backfill-twice")
+    geo = spark.createDataFrame([(16909056, 16909311, "CN", "BJ", "BJ")], GEO_RANGE)
+    for i in (1, 2):
+        _lines(spark, f"{root}/in/{i}", [line(ip=f"1.2.3.{i}", time=f"{d}/Jan/2019:12:00:00 +0800") for d in (29, 30, 31)])
+    table = root + "/access"
+    staged = lambda: {n for n in spark._jvm.java.io.File(root.rsplit("/", 1)[0]).list() if n.startswith("access-staged")}
+    before = staged()
+    for i in (1, 2, 2):
+        run_access_etl(spark, f"{root}/in/{i}", table, None, geo, "md5", days=["20190129", "20190131"])
+    assert sorted(r["ip"] for r in spark.read.parquet(table + "_other_days").collect()) == ["1.2.3.1", "1.2.3.2"]
+    assert staged() == before  # the staged copies are gone

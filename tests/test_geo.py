@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loglark.functions.ipaddr import ip_to_long
-from loglark.operators.geo import GEO_COLS, enrich_geo, overlapping_ranges
+from loglark.operators.geo import GEO_COLS, enrich_geo, enrich_geo_sorted, overlapping_ranges
 from loglark.schemas import GEO_RANGE
 
 A = 16777216
@@ -82,3 +82,24 @@ def test_hot_bucket_is_salted_on_the_shuffle_path(spark, geo):
     salts = (df.withColumn("s", F.pmod(F.monotonically_increasing_id(), F.lit(8))).where(F.col("i") < 30000)
                .select("s").distinct().count())
     assert salts == 8
+
+
+def test_sorted_join_matches_the_nested_loop(spark, geo):
+    hot = [(ip(20 * A + 77), f"hot {i}") for i in range(3000)]  # one address on most rows, and many nulls
+    spread = [(ip(n), str(n)) for n in range(9 * A, 32 * A, 71_993)]
+    df = spark.createDataFrame(hot + spread + [(c, "case") for c, _ in CASES] + [(None, "null")] * 500, "ip string, `run.k` string").repartition(5)
+    df = df.withColumn("place", F.lit(1)).withColumn("city", F.lit("replaced"))
+    got = enrich_geo_sorted(df, geo)
+    want = enrich_geo_nested_loop(df.drop("city").withColumnRenamed("run.k", "r"), geo)
+    assert got.columns == ["ip", "run.k", "place", *GEO_COLS]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_sorted_join_of_empty_sides(spark, geo):
+    none = spark.createDataFrame([], "ip string")
+    assert enrich_geo_sorted(none, geo).count() == 0
+    rows = spark.createDataFrame([(ip(20 * A),)], "ip string")
+    assert enrich_geo_sorted(rows, geo.limit(0)).first()["city"] is None

@@ -157,3 +157,48 @@ def test_folder_count_stays_bounded(spark):
         sink(spark.createDataFrame([(_order(i, 1),)], "value string"), i)
         assert _total_fee(spark, deltas) == i + 1
         assert len(sc.committed(spark, deltas, "batch_id")) <= 7 and len(sc.committed(spark, sc.compaction_path(deltas), "upto")) <= 3
+
+
+def test_late_orders_add_to_their_window_and_are_written(spark):
+    from loglark.streaming.windows import OrderWindowSink, start_order_windows, window_totals
+    root = new_scratch(spark, "test-late-orders")
+    batches = [[_order(0, 1), _order(30, 2)], [_order(15, 4), "oops", _order(25, 8)], [_order(59, 16)], [_order(48, 32), _order(50, 64)]]
+    # files are read in the order of their times
+    src = root + "/src"
+    for i, g in enumerate(batches):
+        spark.createDataFrame([(r,) for r in g], "value string").coalesce(1).write.text(f"{src}/part-{i:03d}")
+
+    def run():
+        start_order_windows(order_stream_from_files(spark, src + "/*", max_files_per_trigger=1), root + "/out", root + "/late",
+                            root + "/bad", root + "/ckpt", "1 hour", watermark="10 minutes", available_now=True).awaitTermination()
+
+    run()
+    total = window_totals(spark, root + "/out").collect()
+    late = sorted(r.fee for r in spark.read.parquet(root + "/late").collect())
+    assert [(r.window_start, r.total, r.fee, r.late) for r in total] == [("2019-01-30 12:00:00", 7, 127, 2)]
+    assert late == [4, 32]  # 12:15 after 12:30, 12:48 after 12:59; 12:25 and 12:50 are within ten minutes
+    assert spark.read.parquet(root + "/bad").count() == 1
+    # the last batch again, as after a lost commit: the same orders are late, nothing counts twice
+    sink = OrderWindowSink(root + "/out", root + "/late", root + "/bad", "1 hour", None, "10 minutes")
+    sink(spark.createDataFrame([(r,) for r in batches[3]], "value string"), 3)
+    assert window_totals(spark, root + "/out").collect() == total
+    assert sorted(r.fee for r in spark.read.parquet(root + "/late").collect()) == late
+    assert len(sc.committed(spark, root + "/out_highest", "batch_id")) == 2
+
+
+def test_state_and_batches_of_a_checkpoint(spark):
+    from loglark.streaming.state import batches, seen_orders, window_state
+    from loglark.streaming.windows import start_windowed_orders, window_view
+    root = new_scratch(spark, "test-state")
+    good = [r for r in RECORDS if "o6" not in r and r != "oops"]
+    _write_files(spark, root + "/src", [[r] for r in good] + [[good[0], good[1]]])  # two orders come again
+    q = start_windowed_orders(order_stream_from_files(spark, root + "/src/*", max_files_per_trigger=1), root + "/out", root + "/ckpt",
+                              "1 hour", watermark="2 days", available_now=True, state_partitions=2, dedup_orders=True)
+    q.awaitTermination()
+    view = rows(window_view(spark, root + "/out"), "window_start", "total", "success", "fee")
+    assert rows(window_state(spark, root + "/ckpt"), "window_start", "total", "success", "fee") == view
+    assert sum(r[1] for r in view) == len(good)
+    assert len({r.orderid for r in seen_orders(spark, root + "/ckpt").collect()}) == len(good)
+    done = batches(spark, root + "/ckpt").orderBy("batch_id").collect()
+    assert [r.batch_id for r in done] == list(range(len(done))) and all(r.committed for r in done)
+    assert [r.watermark_ms for r in done] == sorted(r.watermark_ms for r in done) and done[-1].watermark_ms > 0
