@@ -11,7 +11,9 @@ result instead of re-reading the orders.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglark.functions.timefmt import order_event_time
@@ -130,10 +132,35 @@ def counters_as_map(counters: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("fields"))
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def interval_seconds(text: str) -> int:
+    """Seconds of an interval such as ``1 hour`` or ``2 days 30 minutes``."""
+    words = text.lower().removeprefix("interval ").split()
+    try:
+        return sum(int(n) * _SECONDS[unit.removesuffix("s")] for n, unit in zip(words[::2], words[1::2], strict=True))
+    except (KeyError, ValueError) as e:
+        raise ValueError(f"not an interval of seconds to weeks: {text!r}") from e
+
+
+def windowed_sums(rows: DataFrame, ts: Column, size: str, slide: str | None, sums: dict[str, str]) -> DataFrame:
+    """``sums`` (result name -> column) per event-time window ``w``.
+
+    A sliding window of 1 hour by 1 minute holds each row 60 times.  Rows are therefore summed
+    per pane first (the greatest common divisor of size and slide divides both, so
+    every window is made of whole panes), and only the panes are expanded to their windows.
+    """
+    if slide is None or slide == size:
+        return rows.groupBy(F.window(ts, size).alias("w")).agg(*[F.sum(c).cast("bigint").alias(n) for n, c in sums.items()])
+    pane = f"{math.gcd(interval_seconds(size), interval_seconds(slide))} seconds"
+    panes = rows.groupBy(F.window(ts, pane).alias("p")).agg(*[F.sum(c).cast("bigint").alias(n) for n, c in sums.items()])
+    panes = panes.select(F.col("p.start").alias("at"), *sums)
+    return panes.groupBy(F.window("at", size, slide).alias("w")).agg(*[F.sum(n).cast("bigint").alias(n) for n in sums])
+
+
 def window_metrics(facts: DataFrame, size: str, slide: str | None = None) -> DataFrame:
     """X7 (batch run): total / success / fee per event-time window."""
-    ts = order_event_time(F.col("time"))
-    win = F.window(ts, size, slide) if slide else F.window(ts, size)
-    g = facts.groupBy(win.alias("w")).agg(*_sums())
+    g = windowed_sums(facts, order_event_time(F.col("time")), size, slide, {m: m for m in METRICS})
     return g.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                     F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), *METRICS)

@@ -90,13 +90,13 @@ def url_clicks(table: DataFrame) -> DataFrame:
 def query_keyword_counts(df: DataFrame, url_col: str, keys: Sequence[str]) -> DataFrame:
     """Counts of the values of query keys (``?page=2&ref=x``) per key.
 
-    ``try_parse_url`` gives NULL for a malformed URL instead of failing; rows
-    without the key are not counted.
+    Every occurrence of a key counts, and values are decoded (``a+b`` and ``a%20b`` are one keyword;
+    a value that cannot be decoded counts as it stands).  ``try_parse_url`` gives NULL for a malformed
+    URL instead of failing; rows without the key are not counted.
     """
-    pairs = F.array(*[F.struct(F.lit(k).alias("param"),
-                               F.try_parse_url(F.col(url_col), F.lit("QUERY"), F.lit(k)).alias("keyword"))
-                      for k in keys])
-    return (df.select(F.explode(pairs).alias("_p"))
-              .where(F.col("_p.keyword").isNotNull())
-              .groupBy(F.col("_p.param").alias("param"), F.col("_p.keyword").alias("keyword"))
-              .agg(F.count(F.lit(1)).alias("cnt")))
+    pairs = F.split(F.try_parse_url(F.col(url_col), F.lit("QUERY")), "&")
+    named = (df.select(F.explode(pairs).alias("_p")).where(F.instr("_p", "=") > 0)
+               .select(F.substring_index("_p", "=", 1).alias("param"), F.expr("substring(_p, instr(_p, '=') + 1)").alias("raw"))
+               .where(F.col("param").isin(*keys)))
+    keyword = F.coalesce(F.try_url_decode("raw"), F.col("raw")).alias("keyword")
+    return named.groupBy("param", keyword).agg(F.count(F.lit(1)).alias("cnt"))

@@ -483,6 +483,38 @@ def q_cells_pivot_back(spark, d):
         "rowkey", *[F.col(f"{c}.value").alias(c) for c in STORED_FIELDS])
 
 
+def q_cells_to_wide(spark, d):
+    """The stored cells read back and pivoted to one row per key."""
+    return kv.cells_to_wide(kv.latest_cells(cell_store(spark, d)), STORED_FIELDS, "o")
+
+
+def q_row_maps(spark, d):
+    """Each stored row as one map of its columns, compared as its entries."""
+    rows = access_store(spark, d).select("rowkey", kv.row_to_map(STORED_FIELDS).alias("m"))
+    return rows.select("rowkey", F.explode("m").alias("qualifier", "value"))
+
+
+def q_order_counter_fields(spark, d):
+    """One map of all counter fields per day key, compared as its entries."""
+    maps = om.counters_as_map(om.hash_counters(om.minute_metrics(facts(spark, d))))
+    return maps.select("key", F.explode("fields").alias("field", "value"))
+
+
+def customer_store(spark, sf_dir: str) -> DataFrame:
+    """The two-family customer cells as a stored table sorted by row key, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "customer-store")
+    if key not in _MATERIALIZED:
+        path = new_scratch(spark, "customer-store")
+        write_sorted_cells(customer_cells(spark, sf_dir), path)
+        _MATERIALIZED[key] = path
+    return spark.read.schema(CELL).parquet(_MATERIALIZED[key])
+
+
+def q_kv_get_stored(spark, d):
+    """point get on the sorted store; the key reaches the Parquet scan."""
+    return kv.get_row(customer_store(spark, d), KV_KEY).select("rowkey", "family", "qualifier", "value")
+
+
 def q_kv_get(spark, d):
     """point get of a given key."""
     return kv.get_row(customer_cells(spark, d), KV_KEY).select("rowkey", "family", "qualifier", "value")
@@ -688,7 +720,11 @@ QUERIES: dict[str, QueryFn] = {
     "cells_latest_version": q_cells_latest_version,
     "cells_pivot_back": q_cells_pivot_back,
     "cells_sorted": q_cells_sorted,
+    "cells_to_wide": q_cells_to_wide,
+    "row_maps": q_row_maps,
+    "order_counter_fields": q_order_counter_fields,
     "kv_get": q_kv_get,
+    "kv_get_stored": q_kv_get_stored,
     "kv_multi_get": q_kv_multi_get,
     "kv_scan_from": q_kv_scan_from,
     "cells_update": q_cells_update,

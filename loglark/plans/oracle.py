@@ -279,15 +279,23 @@ ORACLE: dict[str, str] = {
     "browser_stat_day": f"""{_WITH_T} SELECT day, coalesce(browsername, 'Unknown') AS browser,
         count(*) AS cnt FROM T GROUP BY ALL""",
     "url_clicks": _visits("url"),
-    "query_keyword_counts": f"""SELECT param, keyword, count(*) AS cnt FROM (
-        SELECT 'page' AS param, regexp_extract(url, '[?&]page=([^&#]*)', 1) AS keyword
-          FROM pages WHERE regexp_matches(url, '[?&]page=')
-        UNION ALL
-        SELECT 'ref', regexp_extract(url, '[?&]ref=([^&#]*)', 1)
-          FROM pages WHERE regexp_matches(url, '[?&]ref=')) GROUP BY param, keyword""",
+    "query_keyword_counts": """
+        WITH P AS (SELECT unnest(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&')) AS pair FROM pages)
+        SELECT split_part(pair, '=', 1) AS param, url_decode(replace(substr(pair, strpos(pair, '=') + 1), '+', ' ')) AS keyword,
+               count(*) AS cnt
+        FROM P WHERE strpos(pair, '=') > 0 AND split_part(pair, '=', 1) IN ('page', 'ref') GROUP BY ALL""",
     "cells_unpivot": f"{_WITH_T},{_CT} {_CELLS}",
     "cells_latest_version": f"WITH {_A}, {_LATEST} SELECT * FROM L",
     "cells_pivot_back": _PIVOT_BACK,
+    "cells_to_wide": f"{_WITH_T} SELECT rowkey, {_STORED} FROM T",
+    "row_maps": f"""{_WITH_T} SELECT rowkey, qualifier, value FROM (SELECT rowkey, {_STORED} FROM T)
+        UNPIVOT INCLUDE NULLS (value FOR qualifier IN ({_STORED}))""",
+    "order_counter_fields": _HASH_COUNTERS,
+    "kv_get_stored": f"""WITH {_CUST}
+        SELECT rowkey, CASE WHEN qualifier IN ('nation', 'region') THEN 'address' ELSE 'info' END AS family, qualifier, value
+        FROM (UNPIVOT (SELECT rowkey, name, segment, balance, nation, region FROM CUST)
+              ON name, segment, balance, nation, region INTO NAME qualifier VALUE value)
+        WHERE rowkey = '0000000042'""",
     "cells_sorted": f"""{_WITH_T},{_CT}
         SELECT rowkey, family, qualifier, value,
                CAST(row_number() OVER (ORDER BY rowkey, family, qualifier) AS BIGINT) AS rn FROM CT""",

@@ -82,9 +82,12 @@ def write_sorted_cells(cells: DataFrame, path: str, partitions: int | None = Non
     so the versions of one hot cell spread over files too.
 
     Each file covers one key range in order, so Parquet min/max statistics let
-    point, range and prefix reads skip row groups and files.
+    point, range and prefix reads skip row groups and files; a Bloom filter on the row key lets a
+    point read skip those whose range holds the key but that do not have it.  Without
+    ``partitions`` the number of files follows the bytes: ranges are cut for the session's
+    shuffle partitions, and AQE joins neighbours up to its advisory size.
     """
-    n = partitions or int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (cells.repartitionByRange(n, "rowkey", "family", "qualifier", "ts")
-          .sortWithinPartitions("rowkey", "family", "qualifier", "ts")
-          .write.mode(mode).parquet(path))
+    order = ["rowkey", "family", "qualifier", "ts"]
+    ranged = cells.repartitionByRange(partitions, *order) if partitions else cells.repartitionByRange(*order)
+    (ranged.sortWithinPartitions(*order).write.mode(mode)
+           .option("parquet.bloom.filter.enabled#rowkey", "true").parquet(path))

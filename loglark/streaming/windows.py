@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loglark.functions.timefmt import ntz_as_utc_instant, order_event_time, wall_clock
 from loglark.operators.dedup import latest_per_key
+from loglark.operators.order_metrics import windowed_sums
 from loglark.sources.orders import order_facts, parse_order_json, quarantined_orders
 
 WINDOW_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -130,9 +131,9 @@ class OrderWindowSink:
             highest = F.lit(before).cast("timestamp")
             late = F.coalesce(F.col("event_time") < highest - F.expr(f"INTERVAL {self.watermark}"), F.lit(False))
             facts = facts.withColumn("_late", late)
-            win = F.window("event_time", self.size, self.slide) if self.slide else F.window("event_time", self.size)
-            sums = [F.sum(c).cast("bigint").alias(c) for c in ("total", "success", "fee")]
-            deltas = facts.groupBy(win.alias("w")).agg(*sums, F.sum(F.col("_late").cast("bigint")).alias("late"))
+            counted = facts.withColumn("_late", F.col("_late").cast("bigint"))
+            deltas = windowed_sums(counted, F.col("event_time"), self.size, self.slide,
+                                   {"total": "total", "success": "success", "fee": "fee", "late": "_late"})
             (deltas.select(_utc_text(F.col("w.start")).alias("window_start"), _utc_text(F.col("w.end")).alias("window_end"),
                            "total", "success", "fee", "late")
                    .write.mode("overwrite").parquet(f"{self.out_path}/batch_id={batch_id}"))

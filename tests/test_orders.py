@@ -102,3 +102,21 @@ def test_counters_map_view(facts):
     m = {r["key"]: r["fields"] for r in om.counters_as_map(om.hash_counters(om.minute_metrics(facts))).collect()}
     assert m["orders-20190130"]["total"] == 4 and m["orders-20190130"]["fee13"] == 20
     assert set(m["orders-20190131"]) == {"total", "success", "fee", "total00", "success00", "fee00"}
+
+
+def test_sliding_windows_expand_panes_not_orders(spark):
+    import pytest
+
+    from loglark.operators.order_metrics import interval_seconds, window_metrics
+    times = ["20190130115959", "20190130120000", "20190130122959", "20190130123000", "20190130125959"]
+    df = spark.createDataFrame([(t, 1, 1, i) for i, t in enumerate(times, 1)], "time string, total int, success int, fee int")
+    got = window_metrics(df, "1 hour", "30 minutes")
+    assert sorted((r.window_start[11:16], r.window_end[11:16], r.total, r.fee) for r in got.collect()) == [
+        ("11:00", "12:00", 1, 1), ("11:30", "12:30", 3, 6), ("12:00", "13:00", 4, 14), ("12:30", "13:30", 2, 9)]
+    odd = window_metrics(df, "1 hour", "25 minutes").collect()  # panes of five minutes
+    assert sum(r.total for r in odd) >= 2 * len(times)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.rindex("Aggregate")  # an aggregate lies below the expansion
+    assert interval_seconds("2 days 30 minutes") == 2 * 86400 + 1800
+    with pytest.raises(ValueError):
+        interval_seconds("1 month")

@@ -30,3 +30,11 @@ def test_json_is_parsed_once(spark):
     df = metrics_by(order_facts(parse_order_json(spark.createDataFrame([("{}",)], "value string"))), "day")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") <= 1
+
+
+def test_keywords_are_decoded_and_all_counted(spark):
+    from loglark.operators.traffic import query_keyword_counts
+    urls = ["http://a.b/?q=a+b", "http://a.b/?q=a%20b&q=c", "http://a.b/?x=1&q=", "http://a.b/?q=%zz", "http://a.b/", "not a url ?q=9 %", None]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {(r.param, r.keyword): r.cnt for r in query_keyword_counts(df, "url", ["q"]).collect()}
+    assert got == {("q", "a b"): 2, ("q", "c"): 1, ("q", ""): 1}  # %zz makes the URL malformed
