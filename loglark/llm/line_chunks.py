@@ -53,7 +53,8 @@ def with_repeats(rows: DataFrame) -> DataFrame:
     slim = saved(lines.select("row", F.posexplode(window_hashes()).alias("at", "hash")), "chunk-hashes")
     many = slim.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash")
     found = saved(slim.join(many, "hash").groupBy("row").agg(F.collect_set("at").alias("ats")), "chunk-rows")
-    return lines.join(found, "row")
+    # one strategy at every size: each document is shuffled once, to the key of its row
+    return lines.join(found.hint("merge"), "row")
 
 
 def with_chunks(rows: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = (texts.join(first, "chunk").where("not (row = first.row and at = first.at)").select("row", "at").distinct()
             .select("row", F.explode(F.sequence("at", F.col("at") + WINDOW - 1)).alias("at"))
             .groupBy("row").agg(F.collect_set("at").alias("gone")))
-    keyed = staged(rows.join(gone, "row", "left"), lines=F.split("text", "\n", -1))
+    keyed = staged(rows.join(gone.hint("merge"), "row", "left"), lines=F.split("text", "\n", -1))
     keyed = staged(keyed, left=F.when(F.col("gone").isNotNull(), F.filter("lines", lambda _, i: ~F.array_contains("gone", i))))
     lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines"))
     return keyed.select("doc_id", lines.cast("long").alias("n_lines"),
