@@ -26,15 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loglark.llm.common import saved, table_files
+from loglark.llm.common import quoted, saved, table_files
 
 LAW = "bytes"
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def shard_documents(docs: DataFrame, shards: int = 8, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard and the carried columns, per row."""
     result = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -51,6 +51,20 @@ def dropped(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Each row as one struct ``doc`` beside the ``keys`` computed from it, so that no column of the
+    table, whatever its name, meets a column of ours."""
+    return docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("doc"), *[k.alias(n) for n, k in keys.items()])
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("doc").getField(c).alias(c) for c in columns])
+
+
 def broadcast_if_few(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """Write a table of keys; broadcast it if it has at most ``rows`` rows
     (counted, not estimated), else leave the join to a shuffle."""

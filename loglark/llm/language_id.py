@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglark.llm.common import broadcast_if_few, saved
+from loglark.llm.common import broadcast_if_few, packed, saved, unpacked
 
 TRAIN_ROWS = 400
 FULL = 40
@@ -185,6 +185,6 @@ def accepted_documents(docs: DataFrame) -> DataFrame:
     evidence = document_evidence(docs).withColumn("digest", F.xxhash64("text"))
     bad = identify(evidence, model).where("not accepted").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
     bad = broadcast_if_few(bad)
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    return (keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["_id"]) & keyed["_key"].eqNullSafe(bad["_digest"]), "left_anti")
-            .select(*docs.columns))
+    keyed = packed(docs, id=F.col("doc_id"), key=F.xxhash64("text"))
+    left = keyed.join(bad, keyed["id"].eqNullSafe(bad["_id"]) & keyed["key"].eqNullSafe(bad["_digest"]), "left_anti")
+    return unpacked(left, docs.columns)

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglark.llm.common import saved, word_count
+from loglark.llm.common import packed, saved, unpacked, word_count
 
 COSTS = (0, 1, 3)
 MAX_PATTERNS = 100_000
@@ -184,12 +184,11 @@ def mix_by_source(docs: DataFrame, seed: int = 0) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The rows of ``docs`` that the mix takes, a document taken k times k times over."""
-    taken = mix_by_source(docs, seed).where("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), (F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    taken = mix_by_source(docs, seed).where("taken > 0").select("doc_id", "digest", (F.col("taken") / F.col("size")).cast("int").alias("times"))
     # repeated rows are alike: their passes are added up and dealt to one of them
-    taken = taken.groupBy("_id", "_digest").agg(F.sum("_times").cast("int").alias("_times"))
-    keyed = docs.withColumn("_digest", F.xxhash64("doc_id", "text"))
-    alike = Window.partitionBy("doc_id", "_digest").orderBy("source")
-    joined = keyed.join(taken, keyed["doc_id"].eqNullSafe(taken["_id"]) & (keyed["_digest"] == taken["_digest"])).drop(taken["_digest"])
-    first = joined.withColumn("_first", F.row_number().over(alike)).where("_first = 1")
-    return first.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    taken = taken.groupBy("doc_id", "digest").agg(F.sum("times").cast("int").alias("times"))
+    keyed = packed(docs, id=F.col("doc_id"), key=F.xxhash64("doc_id", "text"), source=F.col("source"))
+    joined = keyed.join(taken, keyed["id"].eqNullSafe(taken["doc_id"]) & (keyed["key"] == taken["digest"]))
+    alike = Window.partitionBy("id", "key").orderBy("source")
+    first = joined.withColumn("nth", F.row_number().over(alike)).where("nth = 1")
+    return unpacked(first.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("times")))), docs.columns)

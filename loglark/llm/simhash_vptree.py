@@ -31,8 +31,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from loglark.llm.common import saved
+from loglark.llm.common import packed, saved, unpacked
 from loglark.llm.graph import connected_components
 
 SAMPLE = 20_000
@@ -219,19 +220,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_each(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the
-    smallest doc_id (one of them if rows repeat).  Rows without a doc_id
-    cannot be named as a copy of another and stay."""
-    found = near_duplicates(docs.where("doc_id is not null"), width=width, max_bits=max_bits)
-    kept = found.select("component_id").distinct()
-    # the join deals rows by doc_id, and numbering the few rows of one id needs no second shuffle
-    chosen = docs.where("doc_id is not null").join(kept, docs["doc_id"] == kept["component_id"], "left_semi")
-    columns = docs.columns
-    again = F.row_number().over(_per_id())
-    named = chosen.withColumn("_row_of_id", again).where("_row_of_id = 1").select(columns)
+    """The rows of ``docs`` that stay: of each component the row with the smallest doc_id, then the
+    smallest hash of doc_id and text (one of them if rows repeat).  Two texts under one doc_id are two
+    documents: each stays unless it is a copy.  Rows without a doc_id
+    cannot be named as a copy of another and stay.  Columns may have any names.
+    """
+    key = F.xxhash64("doc_id", "text")
+    known = docs.where("doc_id is not null")
+    # the id that names a component is the pair, so no two components share one
+    found = near_duplicates(known.select(F.struct("doc_id", key.alias("key")).alias("id"), "text"), "id", "text", width, max_bits)
+    kept = found.select(F.col("component_id.key").alias("kept")).distinct()
+    rows = packed(known, key=key)
+    chosen = rows.join(kept, rows["key"] == kept["kept"], "left_semi")
+    # the join deals rows by key, and numbering the few rows of one key needs no second shuffle
+    again = F.row_number().over(Window.partitionBy("key").orderBy(F.to_json("doc")))
+    named = unpacked(chosen.withColumn("again", again).where("again = 1"), docs.columns)
     return named.unionByName(docs.where("doc_id is null"))
-
-
-def _per_id():
-    from pyspark.sql import Window
-    return Window.partitionBy("doc_id").orderBy("text")

@@ -41,3 +41,24 @@ def test_run_equals_the_stages(spark):
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     rows = sorted((r["start"], r["n_tokens"]) for r in got.collect())
     assert all(a + n == b for (a, n), (b, _) in zip(rows, rows[1:]))
+
+
+def test_stages_keep_columns_of_any_name_and_every_document_of_an_id(spark, prose):
+    """Names that the stages use themselves, a dot, a map; two texts under one id."""
+    names = "doc_id long, text string, lang string, source string, _digest string, _first int, _again int, _id long, _key string, _gone int, " \
+            "key int, doc string, row int, `a.b` string, m map<string,int>"
+    texts = [prose(60) for _ in range(24)]
+    rows = [(i // 2, texts[i], "en", "abc"[i % 3], f"d{i}", 1, 2, 3, "k", 4, 5, "doc", 6, f"dot {i}", {"x": i}) for i in range(24)]
+    docs = spark.createDataFrame(rows + [(90, *rows[3][1:]), rows[5]], names)  # a copy under another id, a repeated row
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id, r.text) for r in kept.collect())
+    assert got == sorted((i // 2, texts[i]) for i in range(24))
+    for stage in (corpus_pipeline.identify_language, corpus_pipeline.decontaminate, corpus_pipeline.mix_sources):
+        out = stage(spark, kept, SF)
+        assert out.columns == docs.columns and out.schema == kept.schema
+        back = out.collect()
+        assert back or stage is corpus_pipeline.identify_language
+        for r in back:
+            i = texts.index(r.text)
+            assert (r["_digest"], r["_id"], r["_key"], r["a.b"], r["m"], r["doc"]) == (f"d{i}", 3, "k", f"dot {i}", {"x": i}, "doc")
