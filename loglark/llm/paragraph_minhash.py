@@ -7,7 +7,8 @@ kind), so a passage copied into a third of all documents is one class.
 
 Each class has ``BANDS`` bands of ``ROWS`` MinHash values: at Jaccard 0.8 a pair
 meets in some band with probability 1 - (1 - 0.8^4)^14 = 0.9994.  Classes that
-share a band meet in a bucket; buckets of more than ``TILE`` classes are cut
+share a band meet in a bucket; buckets travel as a hash and a class number of 8 bytes each, and the shuffle files of a
+step go once its result is written.  Buckets of more than ``TILE`` classes are cut
 into tiles, and every pair of tiles is a group of its own, so no task holds more
 than two tiles of a bucket.  Inside a group a pair is
 verified by exact Jaccard of the shingle sets unless its two classes already
@@ -29,8 +30,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglark.llm.common import saved
+from loglark.llm.common import dropped, saved, saved_at, shuffles_freed
 from loglark.llm.graph import connected_components
+from loglark.session import new_scratch
 
 SHINGLE, LIKE = 5, 0.8
 BANDS, ROWS = 14, 4
@@ -149,37 +151,62 @@ def verified_links(texts: list[bytes], guest: np.ndarray) -> list[tuple[int, int
     return found
 
 
-def tile_pairs(members: DataFrame) -> DataFrame:
-    """``members(bucket, size, k1, k2, ...)`` dealt to groups (bucket, one, two) of two
+def tile_pairs(members: DataFrame, key: tuple[str, ...] = ("k1", "k2")) -> DataFrame:
+    """``members(bucket, size, *key, ...)`` dealt to groups (bucket, one, two) of two
     tiles, one <= two; the members of tile ``two`` are guests where the tiles differ."""
     tiles = F.ceil(F.col("size") / TILE).cast("int")
-    dealt = (members.withColumn("own", F.pmod(F.xxhash64("k1", "k2"), tiles).cast("int"))
+    dealt = (members.withColumn("own", F.pmod(F.xxhash64(*key), tiles).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))))
     return (dealt.withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
             .withColumn("guest", F.col("own") > F.col("other")).drop("own", "other", "size"))
 
 
+def paragraph_classes(slim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The paragraphs (doc_id, row, at, k1, k2), and their classes of equal words: no, k1, k2, n, first, bands."""
+    spark, path = slim.sparkSession, new_scratch(slim.sparkSession, "mh-signed")
+    signed = saved_at(slim.mapInPandas(sign, "doc_id long, row long, at int, k1 long, k2 long, bands array<long>"), path)
+    classes = saved(signed.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "row")).alias("first"),
+                                                   F.first("bands").alias("bands"))
+                    .withColumn("no", F.monotonically_increasing_id()), "mh-classes")
+    paragraphs = saved(signed.drop("bands"), "mh-paragraphs")
+    dropped(spark, path)
+    return paragraphs, classes
+
+
+def met_classes(classes: DataFrame) -> DataFrame:
+    """bucket, size, no: the classes of each bucket that holds two or more."""
+    banded = classes.select("no", F.explode("bands").alias("bucket"))
+    # all classes of a bucket are needed only where there are two: a count of the buckets first, then an equi join
+    full = saved(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "mh-buckets")
+    members = saved(banded.join(full, "bucket"), "mh-members")
+    # buckets with the same two members verify the same pair: one of them is enough
+    two = members.where("size = 2").groupBy("bucket").agg(F.min("no").alias("lead"), F.max("no").alias("tail"))
+    two = two.groupBy("lead", "tail").agg(F.min("bucket").alias("bucket")).select(
+        "bucket", F.lit(2).cast("long").alias("size"), F.explode(F.array("lead", "tail")).alias("no"))
+    return saved(members.where("size > 2").select("bucket", "size", "no").unionByName(two), "mh-met")
+
+
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """One row per paragraph that has an equal or near-equal one elsewhere:
     doc_id, paragraph (line number from 0), first_doc_id, first_paragraph (the
     one that stays) and removed (false for that one)."""
     slim = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
-    signed = saved(slim.mapInPandas(sign, "doc_id long, row long, at int, k1 long, k2 long, bands array<long>"), "mh-signed")
-    classes = saved(signed.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "row")).alias("first"),
-                                                   F.first("bands").alias("bands")), "mh-classes")
-    banded = classes.select("k1", "k2", F.explode("bands").alias("bucket"))
-    # all classes of a bucket are needed only where there are two: a count first, then an equi join
-    full = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("k1", "k2")).alias("lead"),
-                                        F.max(F.struct("k1", "k2")).alias("tail")).where("size > 1")
-    full = saved(full, "mh-buckets")
-    # buckets with the same members verify the same pairs: one of them is enough for two members
-    pairs = full.where("size = 2").groupBy("lead", "tail").agg(F.min("bucket").alias("bucket"), F.lit(2).cast("long").alias("size"))
-    kept = full.where("size > 2").select("bucket", "size").unionByName(pairs.select("bucket", "size"))
-    members = saved(banded.join(kept, "bucket"), "mh-members")
+    with shuffles_freed(docs.sparkSession):
+        paragraphs, classes = paragraph_classes(slim)
+        named = saved(kept_paragraphs(slim, classes), "mh-named")
+    return (paragraphs.join(named, ["k1", "k2"])
+            .select("doc_id", F.col("at").alias("paragraph"), F.col("keeper.doc_id").alias("first_doc_id"),
+                    F.col("keeper.at").alias("first_paragraph"),
+                    (~((F.col("row") == F.col("keeper.row")) & (F.col("at") == F.col("keeper.at")))).alias("removed"), "row"))
+
+
+def kept_paragraphs(slim: DataFrame, classes: DataFrame) -> DataFrame:
+    """k1, k2, keeper (doc_id, at, row) of each class in a cluster of two or more paragraphs."""
+    members = met_classes(classes)
     # texts of the classes that met another one, by their first paragraph
-    wanted = (members.select("k1", "k2").distinct().join(classes.select("k1", "k2", "first"), ["k1", "k2"])
-              .select("k1", "k2", F.col("first.row").alias("row"), F.col("first.at").alias("at")))
-    per_row = wanted.groupBy("row").agg(F.collect_set(F.struct("at", "k1", "k2")).alias("ats"))
+    wanted = (members.select("no").distinct().join(classes.select("no", "first"), "no")
+              .select("no", F.col("first.row").alias("row"), F.col("first.at").alias("at")))
+    per_row = wanted.groupBy("row").agg(F.collect_set(F.struct("at", "no")).alias("ats"))
     lines = slim.join(per_row, "row")
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,32 +214,25 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
             out = []
             for text, ats in zip(batch["text"], batch["ats"], strict=True):
                 parts = dict(folded_paragraphs(text))
-                out += [(a["k1"], a["k2"], parts[a["at"]]) for a in ats]
-            yield pd.DataFrame(out, columns=["k1", "k2", "words"])
+                out += [(a["no"], parts[a["at"]]) for a in ats]
+            yield pd.DataFrame(out, columns=["no", "words"])
 
-    texts = lines.select("text", "ats").mapInPandas(fetch, "k1 long, k2 long, words binary")
-    texts = saved(texts.groupBy("k1", "k2").agg(F.first("words").alias("words")), "mh-texts")
-    dealt = tile_pairs(members.join(texts, ["k1", "k2"]))
+    texts = lines.select("text", "ats").mapInPandas(fetch, "no long, words binary")
+    texts = saved(texts.groupBy("no").agg(F.first("words").alias("words")), "mh-texts")
+    dealt = tile_pairs(members.join(texts, "no"), ("no",))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        k1, k2 = pdf["k1"].to_numpy(), pdf["k2"].to_numpy()
+        no = pdf["no"].to_numpy()
         found = verified_links(pdf["words"].to_list(), pdf["guest"].to_numpy(bool))
         i, j = np.array([f[0] for f in found], int), np.array([f[1] for f in found], int)
-        return pd.DataFrame({"a1": k1[i], "a2": k2[i], "b1": k1[j], "b2": k2[j]})
-
-    met = dealt.groupBy("bucket", "one", "two").applyInPandas(compare, "a1 long, a2 long, b1 long, b2 long")
-    links = met.select(F.struct(F.col("a1").alias("k1"), F.col("a2").alias("k2")).alias("a"),
-                       F.struct(F.col("b1").alias("k1"), F.col("b2").alias("k2")).alias("b"))
-    roots = connected_components(links).select("node.*", "root")
-    rooted = classes.join(roots, ["k1", "k2"], "left").select(
-        "k1", "k2", "n", "first", F.coalesce("root", F.struct("k1", "k2")).alias("root"))
-    clusters = (rooted.groupBy("root").agg(F.sum("n").alias("n"), F.min("first").alias("first")).where("n > 1")
-                .select("root", F.col("first").alias("keeper")))
-    named = rooted.join(clusters, "root").select("k1", "k2", "keeper")
-    return (signed.select("doc_id", "row", "at", "k1", "k2").join(named, ["k1", "k2"])
-            .select("doc_id", F.col("at").alias("paragraph"), F.col("keeper.doc_id").alias("first_doc_id"),
-                    F.col("keeper.at").alias("first_paragraph"),
-                    (~((F.col("row") == F.col("keeper.row")) & (F.col("at") == F.col("keeper.at")))).alias("removed"), "row"))
+        return pd.DataFrame({"a": no[i], "b": no[j]})
+
+    links = dealt.groupBy("bucket", "one", "two").applyInPandas(compare, "a long, b long")
+    roots = connected_components(links).select(F.col("node").alias("no"), "root")
+    rooted = saved(classes.select("no", "k1", "k2", "n", "first").join(roots, "no", "left").where("n > 1 or root is not null")
+                   .select("k1", "k2", "n", "first", F.coalesce("root", "no").alias("root")), "mh-rooted")
+    clusters = rooted.groupBy("root").agg(F.min("first").alias("keeper"))
+    return rooted.join(clusters, "root").select("k1", "k2", "keeper")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
