@@ -23,7 +23,9 @@ with a null doc_id are left out; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,8 @@ SHINGLE, LIKE = 5, 0.8
 BANDS, ROWS = 14, 4
 TILE = 1_500
 BLOCK_BYTES = 1 << 20
+GROUP = ("bucket", "one", "two")
+LINKS = 10_000  # rows of an output batch
 
 _SEED = np.random.default_rng(2024)
 _MIX = (_SEED.integers(1, 1 << 62, BANDS * ROWS, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -127,15 +131,18 @@ def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield flush(owner, parts)
 
 
-def shingles(words: bytes) -> set[bytes]:
+def shingles(words: bytes) -> set[tuple[bytes, ...]]:
     w = words.split(b" ")
-    return {b" ".join(w[i:i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
+    return set(zip(*(w[i:] for i in range(SHINGLE)), strict=False))
 
 
-def verified_links(texts: list[bytes], guest: np.ndarray) -> list[tuple[int, int]]:
+def verified_links(texts: Sequence[bytes], guest: np.ndarray) -> list[tuple[int, int]]:
     """Pairs (i, j) with Jaccard of at least ``LIKE`` that hang all such pairs together:
     (resident, guest) pairs, or all pairs if there is no guest."""
     sets = [shingles(t) for t in texts]
+    if len(sets) == 2:
+        both = len(sets[0] & sets[1])
+        return [(0, 1)] if both >= LIKE * (len(sets[0]) + len(sets[1]) - both) else []
     label, found = np.arange(len(texts)), []
     size = np.array([len(s) for s in sets])
     homes = np.flatnonzero(~guest)
@@ -151,6 +158,19 @@ def verified_links(texts: list[bytes], guest: np.ndarray) -> list[tuple[int, int
     return found
 
 
+def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links (a, b) of the groups (bucket, one, two), whose rows arrive one after another; one group is held at a time."""
+    rows = (row for batch in batches for row in zip(*(batch[c] for c in GROUP), batch["no"], batch["guest"], batch["words"], strict=True))
+    found = []
+    for _, group in groupby(rows, key=itemgetter(0, 1, 2)):
+        no, guest, words = zip(*(row[len(GROUP):] for row in group), strict=True)
+        found += [(no[i], no[j]) for i, j in verified_links(words, np.array(guest, bool))]
+        if len(found) > LINKS:
+            yield pd.DataFrame(found, columns=["a", "b"])
+            found = []
+    yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
 def tile_pairs(members: DataFrame, key: tuple[str, ...] = ("k1", "k2")) -> DataFrame:
     """``members(bucket, size, *key, ...)`` dealt to groups (bucket, one, two) of two
     tiles, one <= two; the members of tile ``two`` are guests where the tiles differ."""
@@ -221,13 +241,9 @@ def kept_paragraphs(slim: DataFrame, classes: DataFrame) -> DataFrame:
     texts = saved(texts.groupBy("no").agg(F.first("words").alias("words")), "mh-texts")
     dealt = tile_pairs(members.join(texts, "no"), ("no",))
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        no = pdf["no"].to_numpy()
-        found = verified_links(pdf["words"].to_list(), pdf["guest"].to_numpy(bool))
-        i, j = np.array([f[0] for f in found], int), np.array([f[1] for f in found], int)
-        return pd.DataFrame({"a": no[i], "b": no[j]})
-
-    links = dealt.groupBy("bucket", "one", "two").applyInPandas(compare, "a long, b long")
+    # one call per task, not per group: most groups are pairs, and a call costs more than comparing them
+    links = (dealt.select(*GROUP, "no", "guest", "words").repartition(*GROUP).sortWithinPartitions(*GROUP)
+             .mapInPandas(linked, "a long, b long"))
     roots = connected_components(links).select(F.col("node").alias("no"), "root")
     rooted = saved(classes.select("no", "k1", "k2", "n", "first").join(roots, "no", "left").where("n > 1 or root is not null")
                    .select("k1", "k2", "n", "first", F.coalesce("root", "no").alias("root")), "mh-rooted")
