@@ -154,3 +154,15 @@ def test_hot_bucket_of_a_templated_line(make, prose, monkeypatch):
     rows = [(i, " ".join([*words[:40], f"number{i}", *words[40:]])) for i in range(70)] + [(200 + i, prose(40)) for i in range(10)]
     got = pm.repeated_paragraphs(make(rows)).collect()
     assert {r["doc_id"]: r["first_doc_id"] for r in got} == {i: 0 for i in range(70)}
+
+
+def test_groups_may_lie_across_batches():
+    import pandas as pd
+    words = b"one two three four five six seven eight"
+    rows = [(7, 0, 0, no, False, words) for no in range(4)] + [(9, 0, 1, 10, False, words), (9, 0, 1, 11, True, words), (9, 1, 1, 12, False, b"a b c d e")]
+    cols = [*pm.GROUP, "no", "guest", "words"]
+    for size in (1, 2, 3, 7):
+        batches = (pd.DataFrame(rows[i:i + size], columns=cols) for i in range(0, len(rows), size))
+        links = pd.concat(list(pm.linked(batches)))
+        assert sorted(zip(links["a"], links["b"], strict=True)) == [(0, 1), (0, 2), (0, 3), (10, 11)]
+    assert sum(map(len, pm.linked(iter([])))) == 0
