@@ -7,8 +7,8 @@ passages of ``SPAN`` words, side by side for the statistics and every ``STEP``
 words for the search:
 
 1. passage frequencies over all passages of all documents give the TF-IDF weights;
-2. a randomised SVD finds the latent subspace, the index of the search. It is fitted on a hash
-   sample of about ``SAMPLE`` passages (all, if there are fewer), even over all documents and places: with a seeded random matrix R,
+2. a randomised SVD finds the latent subspace, the index of the search. It is fitted on all
+   passages: with a seeded random matrix R,
    each task adds up A'(A R) over its passages (A: unit TF-IDF rows), the sums of the terms met are grouped by
    term, the items' own rows join with a set weight, and an orthonormal basis of the result spans the leading directions
    (one power iteration; the basis is terms x ``RANK``);
@@ -29,8 +29,9 @@ empty table gives an empty result; null doc_ids stay null.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,7 @@ COVER, ANSWER = 0.6, 0.5
 TERMS, LEAST = 200_000, 6
 BLOCK = 1_024
 ITEMS = 50_000
-SAMPLE = 262_144
+SAMPLE = 0  # read by nothing any more: the subspace is fitted on all passages
 
 #: ASCII signs that are no part of a word become blanks.
 _BLANKS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
@@ -79,8 +80,8 @@ class Items:
         self.row, self.column = (key // len(self.term), key % len(self.term)) if len(key) else (key, key)
 
     def numbers(self, text: str | None) -> np.ndarray:
-        get = self.term.get
-        return np.array([get(w, -1) for w in words(text)], np.int32)
+        w = words(text)
+        return np.fromiter(map(self.term.get, w, repeat(-1)), np.int32, len(w))
 
 
 def item_parts(benchmark: DataFrame) -> list[DataFrame]:
@@ -94,10 +95,9 @@ def part_items(part: DataFrame, term: dict[bytes, int]) -> Items:
     return Items(sorted((r["item_id"], r["text"]) for r in part.collect()), term)
 
 
-def blocks(texts: Iterator[tuple], n_terms: int, step: int, chosen: Callable | None = None) -> Iterator[tuple]:
+def blocks(texts: Iterator[tuple], n_terms: int, step: int) -> Iterator[tuple]:
     """Passages of (document, numbers) that hold a term, about ``BLOCK`` at a time: ``owner``, which names the
-    (document, numbers, start) of a row, the number of rows, and the term counts as (row, term, count).
-    ``chosen(document, passages)`` may keep some of a document's passages only."""
+    (document, numbers, start) of a row, the number of rows, and the term counts as (row, term, count)."""
     pieces, keys, size = [], [], 0
 
     def made():
@@ -115,7 +115,6 @@ def blocks(texts: Iterator[tuple], n_terms: int, step: int, chosen: Callable | N
     for doc, numbers in texts:
         at = np.flatnonzero(numbers >= 0)
         n = len(range(0, max(1, len(numbers) - SPAN + step), step))
-        take = None if chosen is None else chosen(doc, np.arange(n))
         for lo in range(0, n if len(at) else 0, BLOCK):  # a very long text comes in sections
             hi = min(n, lo + BLOCK)
             near = at[np.searchsorted(at, lo * step):np.searchsorted(at, (hi - 1) * step + SPAN)]
@@ -123,8 +122,6 @@ def blocks(texts: Iterator[tuple], n_terms: int, step: int, chosen: Callable | N
             for back in range(SPAN // step):  # a word stands in SPAN / step passages
                 j = near // step - back
                 ok = (j >= lo) & (j < hi)
-                if take is not None:
-                    ok &= take[np.clip(j, 0, n - 1)]
                 made_keys.append((j[ok] - lo + size) * n_terms + numbers[near[ok]])
             made_keys = np.concatenate(made_keys)
             if len(made_keys):
@@ -203,23 +200,8 @@ def arrays(batch: pd.DataFrame, key: str) -> Iterator[tuple]:
     return ((k, np.frombuffer(x, np.int32)) for k, x in zip(batch[key], batch["numbers"], strict=True))
 
 
-def share(rate: float) -> Callable | None:
-    """A seeded choice of that share of all passages, by row key and passage number."""
-    if rate >= 1:
-        return None
-    limit = np.uint64(int(rate * 2.0 ** 63))
-
-    def chosen(row: int, passage: np.ndarray) -> np.ndarray:
-        h = (passage.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(row & (2 ** 64 - 1))
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return (h ^ (h >> np.uint64(32))) >> np.uint64(1) < limit
-
-    return chosen
-
-
 def latent_basis(docs: DataFrame, term: dict[bytes, int], parts: list[DataFrame], n_items: int) -> tuple[np.ndarray, np.ndarray]:
-    """(idf, basis): frequencies over all passages of ``docs(row, numbers)``, the sketch over ``SAMPLE`` of them and all items."""
+    """(idf, basis): frequencies over all passages of ``docs(row, numbers)``, the sketch over all of them and all items."""
     n_terms = len(term)
     slim = docs.select("row", "numbers")
 
@@ -237,21 +219,22 @@ def latent_basis(docs: DataFrame, term: dict[bytes, int], parts: list[DataFrame]
     idf = (np.log((counted[0] + 1) / (counted[1:] + 1)) + 1) ** 2  # squared: words that all passages share say little
     rank = min(RANK, n_terms)
     random = np.random.default_rng(17).standard_normal((n_terms, rank + 8)).astype(np.float32)
-    rate = SAMPLE / max(1, counted[0])
-    chosen = share(rate)
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[int, np.ndarray] = {}
+        total, met = np.zeros(random.shape), np.zeros(n_terms, bool)  # memory for the rows that are met only
         for batch in batches:
-            for _, n, row, term, count in blocks(arrays(batch, "row"), n_terms, SPAN, chosen):
-                w = weighted(row, term, count, idf, n)
+            for _, n, row, term, count in blocks(arrays(batch, "row"), n_terms, SPAN):
+                w = weighted(row, term, count, idf, n).astype(np.float32)
                 y = times(row, term, w, random, n)
                 by_term = np.argsort(term, kind="stable")
-                first = np.flatnonzero(np.concatenate(([True], np.diff(term[by_term]) > 0)))
-                sums = np.add.reduceat(w[by_term, None].astype(np.float32) * y[row[by_term]], first, axis=0)
-                for t, x in zip(term[by_term][first].tolist(), sums, strict=True):
-                    total[t] = total[t] + x if t in total else x.astype(np.float64)
-        yield pd.DataFrame({"term": np.array(list(total), np.int32), "row": [x.tobytes() for x in total.values()]})
+                term = term[by_term]
+                first = np.flatnonzero(np.concatenate(([True], term[1:] > term[:-1])))
+                total[term[first]] += np.add.reduceat(w[by_term, None] * y[row[by_term]], first, axis=0)
+                met[term[first]] = True
+        met = np.flatnonzero(met)
+        for lo in range(0, len(met), BLOCK):
+            some = met[lo:lo + BLOCK]
+            yield pd.DataFrame({"term": some.astype(np.int32), "row": [x.tobytes() for x in total[some]]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.sum([np.frombuffer(x) for x in pdf["row"]], axis=0)
@@ -263,12 +246,12 @@ def latent_basis(docs: DataFrame, term: dict[bytes, int], parts: list[DataFrame]
         z[t] = np.frombuffer(r)
     # the items are rows too; together they weigh ITEM_WEIGHT times all passages, or the
     # leading directions would hold only the corpus' common words
-    sketched = max(1, min(1, rate) * counted[0])
+    passages = max(1, counted[0])
     for part in parts:
         some = part_items(part, term)
         w = weighted(some.row, some.column, some.count, idf, len(some.ids))
         y = times(some.row, some.column, w, random, len(some.ids))
-        np.add.at(z, some.column, ITEM_WEIGHT * sketched / n_items * w[:, None] * y[some.row])
+        np.add.at(z, some.column, ITEM_WEIGHT * passages / n_items * w[:, None] * y[some.row])
     u, s, _ = np.linalg.svd(z, full_matrices=False)
     return idf, u[:, :rank][:, s[:rank] > 1e-9 * max(s[0], 1e-300)].astype(np.float32)
 

@@ -101,6 +101,41 @@ def test_recall_against_an_exhaustive_search_with_a_sampled_basis(spark, make, p
     assert len(got) >= 0.9 * len(want)
 
 
+def test_the_subspace_is_fitted_on_all_passages(make, prose, monkeypatch):
+    """Against the same sketch from the whole passage matrix at once."""
+    import numpy as np
+    monkeypatch.setattr(dc, "SAMPLE", 20)
+    monkeypatch.setattr(dc, "RANK", 8)
+    items = [(i, prose(20)) for i in range(5)]
+    known = dc.Items(items)
+    n_terms = len(known.term)
+    rows = [(i, f"{prose(120)} {items[i % 5][1]} {prose(40)}") for i in range(60)]
+    passages = []
+    for _, text in rows:
+        numbers = known.numbers(text)
+        for a in range(0, len(numbers), dc.SPAN):
+            part = numbers[a:a + dc.SPAN]
+            if (part >= 0).any():
+                passages.append(np.bincount(part[part >= 0], minlength=n_terms))
+    passages = np.array(passages)
+    idf = (np.log((len(passages) + 1) / ((passages > 0).sum(axis=0) + 1)) + 1) ** 2
+
+    def unit(counts):
+        w = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
+        return w / np.linalg.norm(w, axis=1, keepdims=True)
+
+    a = unit(passages)
+    mine = unit(np.array([np.bincount(t, minlength=n_terms) for t in known.tokens]))
+    right = np.random.default_rng(17).standard_normal((n_terms, 16))
+    z = a.T @ (a @ right) + dc.ITEM_WEIGHT * len(passages) / len(items) * mine.T @ (mine @ right)
+    u = np.linalg.svd(z, full_matrices=False)[0][:, :8]
+    slim = make(rows).selectExpr("doc_id", "doc_id as row", "text")
+    bench = slim.sparkSession.createDataFrame(items, "item_id long, text string")
+    got_idf, got = dc.latent_basis(dc.numbered(slim, known.term), known.term, [bench], len(items))
+    assert np.allclose(got_idf, idf)
+    assert np.allclose(got @ got.T, u @ u.T, atol=1e-3)
+
+
 def test_blocks_hold_every_passage_once(prose):
     """Against passages cut one by one, for lengths around the borders and a text of several sections."""
     import numpy as np
