@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Most cells of a stored file.  Sorted cells are packed so well that a scan split of 128 MB would hold tens of
+#: millions of them; Spark adds an opening cost to every file, so a split takes about 25 files of this size.
+FILE_CELLS = 200_000
+
+
 def day_path(table_path: str, day: str) -> str:
     return f"{table_path.rstrip('/')}/day={day}"
 
@@ -85,9 +90,10 @@ def write_sorted_cells(cells: DataFrame, path: str, partitions: int | None = Non
     point, range and prefix reads skip row groups and files; a Bloom filter on the row key lets a
     point read skip those whose range holds the key but that do not have it.  Without
     ``partitions`` the number of files follows the bytes: ranges are cut for the session's
-    shuffle partitions, and AQE joins neighbours up to its advisory size.
+    shuffle partitions, and AQE joins neighbours up to its advisory size.  A range of more than
+    ``FILE_CELLS`` cells becomes several files, which bounds what a task that reads the table has to sort.
     """
     order = ["rowkey", "family", "qualifier", "ts"]
     ranged = cells.repartitionByRange(partitions, *order) if partitions else cells.repartitionByRange(*order)
-    (ranged.sortWithinPartitions(*order).write.mode(mode)
+    (ranged.sortWithinPartitions(*order).write.mode(mode).option("maxRecordsPerFile", FILE_CELLS)
            .option("parquet.bloom.filter.enabled#rowkey", "true").parquet(path))

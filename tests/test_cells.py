@@ -109,3 +109,17 @@ def test_regex_scan_pushes_its_prefixes(spark, tmp_path):
     assert sorted(r.rowkey for r in got.collect()) == sorted(k for k in keys if re.search(pattern, k))
     plan = got._jdf.queryExecution().executedPlan().toString()  # it shortens the list of pushed filters
     assert "StartsWith(rowkey#" in plan and "ingStartsWith(rowkey,202" in plan.split("PushedFilters: ")[1]
+
+
+def test_a_large_range_of_sorted_cells_is_cut_into_files(spark, tmp_path, monkeypatch):
+    """Files hold a bounded number of cells, also of one hot row, and none is lost."""
+    from loglark.schemas import CELL
+    from loglark.sinks import tables
+    monkeypatch.setattr(tables, "FILE_CELLS", 100, raising=False)
+    rows = [(f"k{i % 7}" if i % 3 else "hot", "o", f"q{i % 5}", f"v{i}", i) for i in range(1_000)]
+    path = str(tmp_path / "cells")
+    write_sorted_cells(spark.createDataFrame(rows, CELL), path)
+    back = spark.read.schema(CELL).parquet(path)
+    sizes = [r["count"] for r in back.groupBy("_metadata.file_name").count().collect()]
+    assert max(sizes) <= 100 and sum(sizes) == 1_000
+    assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
