@@ -115,14 +115,13 @@ def blocks(texts: Iterator[tuple], n_terms: int, step: int) -> Iterator[tuple]:
     for doc, numbers in texts:
         at = np.flatnonzero(numbers >= 0)
         n = len(range(0, max(1, len(numbers) - SPAN + step), step))
+        base = at // step * n_terms + numbers[at]
         for lo in range(0, n if len(at) else 0, BLOCK):  # a very long text comes in sections
             hi = min(n, lo + BLOCK)
-            near = at[np.searchsorted(at, lo * step):np.searchsorted(at, (hi - 1) * step + SPAN)]
             made_keys = []
             for back in range(SPAN // step):  # a word stands in SPAN / step passages
-                j = near // step - back
-                ok = (j >= lo) & (j < hi)
-                made_keys.append((j[ok] - lo + size) * n_terms + numbers[near[ok]])
+                first, end = np.searchsorted(at, ((lo + back) * step, (hi + back) * step))
+                made_keys.append(base[first:end] + (size - lo - back) * n_terms)
             made_keys = np.concatenate(made_keys)
             if len(made_keys):
                 pieces.append((size, doc, numbers, lo))
@@ -144,7 +143,32 @@ def weighted(row: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np.ndarr
 
 def times(row: np.ndarray, term: np.ndarray, w: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
     """A @ right for the sparse rows (entries come sorted by row, and every row has one)."""
-    return np.add.reduceat(w[:, None].astype(np.float32) * right[term], np.searchsorted(row, np.arange(n)), axis=0)
+    starts = np.searchsorted(row, np.arange(n + 1))
+    return summed_rows(starts[:-1], np.diff(starts), w.astype(np.float32), term, right)
+
+
+def summed_rows(starts: np.ndarray, lengths: np.ndarray, w: np.ndarray, index: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A row per group of entries (start, length; none is empty): the sum of ``w * right[index]``, in float32.
+
+    The groups' k-th entries are added together, longest group first, so that every step works on the leading rows;
+    groups of more than ``SPAN`` entries are products of their own."""
+    out = np.empty((len(starts), right.shape[1]), np.float32)
+    for g in np.flatnonzero(lengths > SPAN):
+        a, b = starts[g], starts[g] + lengths[g]
+        out[g] = w[a:b] @ right[index[a:b]]
+    short = np.flatnonzero(lengths <= SPAN)
+    if not len(short):
+        return out
+    short = short[np.argsort(-lengths[short], kind="stable")]
+    at, size = starts[short], lengths[short]
+    total = right[index[at]] * w[at, None]
+    for k in range(1, size[0]):
+        m = np.searchsorted(-size, -k)  # groups of more than k entries
+        some = right[index[at[:m] + k]]
+        some *= w[at[:m] + k, None]
+        total[:m] += some
+    out[short] = total
+    return out
 
 
 def lcs(a: list[int], b: list[int]) -> int:
@@ -162,12 +186,19 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
-def leaks(item: np.ndarray, answer: np.ndarray, doc: np.ndarray, start: int) -> float:
-    """Coverage of the item by the best stretch near the passage, 0 if a check fails."""
+def leaks(item: np.ndarray, answer: np.ndarray, doc: np.ndarray, start: int, mark: np.ndarray | None = None) -> float:
+    """Coverage of the item by the best stretch near the passage, 0 if a check fails.
+    ``mark``, to be used again: false for every term and at the end for -1; it comes back so."""
     m = len(item)
+    if mark is None:
+        mark = np.zeros(max(int(item.max()), int(doc.max(initial=0))) + 2, bool)
     lo, hi = max(0, start - m), min(len(doc), start + SPAN + m)
-    near, mine = doc[lo:hi], np.unique(item)
-    inside = mine[np.minimum(np.searchsorted(mine, near), len(mine) - 1)] == near
+    near = doc[lo:hi]
+    mark[item] = True
+    inside = mark[near]
+    mark[item] = False
+    if np.count_nonzero(inside) < COVER * m:  # no stretch holds enough of the item's words
+        return 0.0
     width, best = m + m // 2, 0.0
     sums = np.concatenate(([0], np.cumsum(inside)))
     step = max(1, m // 4)
@@ -229,7 +260,7 @@ def latent_basis(docs: DataFrame, term: dict[bytes, int], parts: list[DataFrame]
                 by_term = np.argsort(term, kind="stable")
                 term = term[by_term]
                 first = np.flatnonzero(np.concatenate(([True], term[1:] > term[:-1])))
-                total[term[first]] += np.add.reduceat(w[by_term, None] * y[row[by_term]], first, axis=0)
+                total[term[first]] += summed_rows(first, np.diff(first, append=len(term)), w[by_term], row[by_term], y)
                 met[term[first]] = True
         met = np.flatnonzero(met)
         for lo in range(0, len(met), BLOCK):
@@ -282,6 +313,7 @@ def found(texts: DataFrame, items: Items, idf: np.ndarray, basis: np.ndarray) ->
     target = latent(items.row, items.column, items.count, len(items.ids))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mark = np.zeros(len(items.term) + 1, bool)
         for batch in batches:
             best: dict[tuple[int, int], float] = {}
             docs_ = batch["doc_id"].to_list()
@@ -291,7 +323,7 @@ def found(texts: DataFrame, items: Items, idf: np.ndarray, basis: np.ndarray) ->
                     for p, i in zip(*np.nonzero(x @ target[lo:lo + 2_048].T >= COSINE), strict=True):
                         doc, numbers, start = owner(p)
                         if best.get((doc, lo + i), 0) < 1:
-                            cover = leaks(items.tokens[lo + i], items.answers[lo + i], numbers, start)
+                            cover = leaks(items.tokens[lo + i], items.answers[lo + i], numbers, start, mark)
                             if cover > best.get((doc, lo + i), 0):
                                 best[doc, lo + i] = cover
             rows = [(docs_[d], batch["row"].iloc[d], items.ids[i], c) for (d, i), c in sorted(best.items())]
