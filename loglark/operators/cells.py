@@ -29,6 +29,17 @@ def to_cells(wide: DataFrame, columns: Sequence[str], family: str, key: str = "r
                  .select("rowkey", F.lit(family).alias("family"), "qualifier", "value", "ts"))
 
 
+def to_sorted_cells(wide: DataFrame, columns: Sequence[str], family: str, key: str = "rowkey",
+                    ts: Column | None = None, partitions: int | None = None) -> DataFrame:
+    """P8 in the order (rowkey, family, qualifier), for rows of unique keys.
+
+    The rows are dealt by key ranges and sorted before they are cut into cells, so one row is shuffled
+    and sorted, not one per column.
+    """
+    ranged = wide.repartitionByRange(partitions, key) if partitions else wide.repartitionByRange(key)
+    return to_cells(ranged.sortWithinPartitions(key), sorted(columns), family, key, ts)
+
+
 def families_to_cells(wide: DataFrame, families: dict[str, Sequence[str]], key: str = "rowkey",
                       ts: Column | None = None) -> DataFrame:
     """Rows with columns in several families -> cells, one pass."""

@@ -28,11 +28,12 @@ _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn",
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, presorted: bool = False) -> DataFrame:
+    """``presorted``: ``df`` is range-partitioned and sorted by ``order`` already."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = df if presorted else df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     stable = ranged.checkpoint(eager=True)
     with_id = stable.withColumn("_mid", F.monotonically_increasing_id())
     with_id = with_id.withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS)) \

@@ -82,7 +82,7 @@ def table_exists(spark: SparkSession, table_path: str) -> bool:
 
 
 def write_sorted_cells(cells: DataFrame, path: str, partitions: int | None = None,
-                       mode: str = "overwrite") -> None:
+                       mode: str = "overwrite", presorted: bool = False) -> None:
     """K3: cells range-partitioned and sorted by (rowkey, family, qualifier, ts),
     so the versions of one hot cell spread over files too.
 
@@ -92,8 +92,11 @@ def write_sorted_cells(cells: DataFrame, path: str, partitions: int | None = Non
     ``partitions`` the number of files follows the bytes: ranges are cut for the session's
     shuffle partitions, and AQE joins neighbours up to its advisory size.  A range of more than
     ``FILE_CELLS`` cells becomes several files, which bounds what a task that reads the table has to sort.
+    ``presorted`` cells (``cells.to_sorted_cells``) are in this order and are written as they come.
     """
     order = ["rowkey", "family", "qualifier", "ts"]
-    ranged = cells.repartitionByRange(partitions, *order) if partitions else cells.repartitionByRange(*order)
-    (ranged.sortWithinPartitions(*order).write.mode(mode).option("maxRecordsPerFile", FILE_CELLS)
+    if not presorted:
+        ranged = cells.repartitionByRange(partitions, *order) if partitions else cells.repartitionByRange(*order)
+        cells = ranged.sortWithinPartitions(*order)
+    (cells.write.mode(mode).option("maxRecordsPerFile", FILE_CELLS)
            .option("parquet.bloom.filter.enabled#rowkey", "true").parquet(path))
