@@ -39,7 +39,7 @@ from loglark.llm.common import saved
 from loglark.session import new_scratch
 
 MAGIC = b"EFTOKENS"
-SHARD_TEXT_BYTES = 32 << 20
+SHARD_TEXT_BYTES = 8 << 20  # a file is read back whole, with copies in the JVM, in Arrow and in Python
 MEMO = 500_000
 SAMPLE_EVERY = 256
 

@@ -97,3 +97,8 @@ def test_chunk_maps_compose(make, prose):
     got = sorted(map(tuple, tc.token_counts(make(rows), BYTE, chunk=64).collect()), key=repr)
     want = [(i, len((t or "").encode()), len(library.encode(t or "").ids), len(library.encode(t or "").ids) > 512) for i, t in rows]
     assert got == sorted(want, key=repr)
+
+
+def test_a_shard_file_is_a_small_part_of_a_tasks_memory():
+    """A file is read whole, in the JVM, in Arrow and in Python: pipeline, memory of an executor."""
+    assert to.SHARD_TEXT_BYTES <= 8 << 20
