@@ -166,3 +166,62 @@ def test_groups_may_lie_across_batches():
         links = pd.concat(list(pm.linked(batches)))
         assert sorted(zip(links["a"], links["b"], strict=True)) == [(0, 1), (0, 2), (0, 3), (10, 11)]
     assert sum(map(len, pm.linked(iter([])))) == 0
+
+
+def found_in(rows):
+    return {r["doc_id"] for r in rows}
+
+
+def test_passages_inside_lines_across_lines_and_wrapped_anew(make, prose):
+    """Runs of 50 words or more in longer lines, over line ends and in other line widths, in upper case too; short stock lines are no repeats."""
+    rows, runs, stock = [], [prose(n) for n in (50, 51, 64, 120)], [prose(13), prose(30)]
+    for k, run in enumerate(runs):
+        w = run.split()
+        wrapped = "\n".join(" ".join(w[i:i + 7]) for i in range(0, len(w), 7))
+        rows += [(10 * k, f"{prose(9)}\n{prose(70)} {run} {prose(40)}"), (10 * k + 1, f"{prose(3)} {run.upper()} {prose(80)}\n{prose(60)}"),
+                 (10 * k + 2, f"{prose(11)}\n{prose(5)} {wrapped} {prose(6)}")]
+    clean = [(100 + i, "\n".join([prose(60), stock[i % 2], prose(200), stock[0], prose(5)])) for i in range(20)]
+    got = pm.repeated_paragraphs(make([*rows, *clean])).collect()
+    assert found_in(got) == {i for i, _ in rows}
+    text = dict(rows)
+    for r in got:
+        words = " ".join(text[r["doc_id"]].lower().split()[r["word"]:r["word"] + r["words"]])
+        first = r["doc_id"] // 10 * 10
+        assert (r["first_doc_id"], r["removed"]) == (first, r["doc_id"] != first) and words in runs[first // 10].lower()
+        lines = [at for at, line in enumerate(text[r["doc_id"]].split("\n")) for _ in line.split()]
+        assert r["paragraph"] == lines[r["word"]] and r["words"] >= pm.UNIT
+
+
+def test_removed_passages_leave_the_text(make, prose):
+    run, before, after, end = prose(60), prose(40), prose(45), prose(8)
+    docs = make([(1, f"{before} {run} {after}"), (2, f"x\n{after[::-1]} {run}\n{end}"), (3, "spam " * 200)])
+    left = {r["doc_id"]: r["text"] for r in pm.without_repeats(docs).collect()}
+    assert left[1] == f"{before} {run} {after}" and left[3].split() == ["spam"] * pm.UNIT
+    assert left[2].startswith(f"x\n{after[::-1]} ") and left[2].endswith(f"\n{end}")
+    rest = left[2].removeprefix(f"x\n{after[::-1]} ").removesuffix(f"\n{end}").split()
+    assert len(rest) <= 60 - pm.UNIT  # what of the run lies outside its units stays
+
+
+def test_units_do_not_depend_on_neighbours_or_pieces(prose, monkeypatch):
+    texts = [prose(n).encode() for n in (34, 35, 400, 20, 90)]
+    part, word, keys = pm.units(texts)
+    for k, t in enumerate(texts):
+        _, one_word, one_keys = pm.units([t])
+        assert (word[part == k] == one_word).all() and (keys[part == k] == one_keys).all()
+    whole = set(word[part == 2].tolist())
+    assert len(whole) > 20 and max(np.diff(sorted(whole))) <= pm.SPAN and not (part == 0).any()
+    for size in (20, 57, 200):
+        monkeypatch.setattr(pm, "PIECE", size)
+        cut = []
+        for before, start, words in pm.pieces(texts[2].split()):
+            cut += [w + before for w in pm.units([words])[1].tolist() if start <= w + before < start + size]
+        assert len(cut) == len(set(cut)) and set(cut) == whole
+
+
+def test_repeated_rows_have_their_passages_each(make, prose):
+    run = prose(80)
+    rows = [(1, f"{prose(60)} {run} {prose(9)}"), (2, f"{prose(30)} {run}"), (2, f"{prose(31)} {run}"), (5, f"{run} {prose(20)}")]
+    got = pm.repeated_paragraphs(make([*rows, rows[3]])).collect()
+    assert sorted((r["doc_id"], r["first_doc_id"], r["removed"]) for r in got if r["doc_id"] < 5) == [(1, 1, False), (2, 1, True), (2, 1, True)]
+    # (5, ...) twice: its one line repeats whole, and holds the passage
+    assert sorted((r["paragraph"], r["word"], r["words"], r["removed"]) for r in got if r["doc_id"] == 5) == [(0, 0, 100, False)] * 2
