@@ -54,6 +54,7 @@ BANDS, ROWS = 14, 4
 SPAN, UNIT = 16, 35  # shingles that share an anchor; words of a unit
 LEAST = SPAN + UNIT - 1  # words of a paragraph, and of a passage that is always found
 PIECE = 50_000  # words of a text hashed at once
+HOT = 10_000  # units of a class that is broadcast
 TILE = 1_500
 BLOCK_BYTES = 1 << 20
 GROUP = ("bucket", "one", "two")
@@ -263,8 +264,8 @@ def paragraph_classes(slim: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     both = saved_at(slim.mapInPandas(sign, "doc_id long, row long, at int, word int, words int, k1 long, k2 long, bands array<long>"), path)
     signed, units_ = both.where("bands is not null"), both.where("bands is null").drop("bands")
     # most units stand in one place: a count of the keys first, then an equi join
-    many = saved(units_.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2"), "mh-many")
-    met = saved(units_.join(many.hint("merge"), ["k1", "k2"]), "mh-units")
+    many = saved(units_.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1"), "mh-many")
+    met = saved(with_classes(units_, many), "mh-units")
     classes = saved(signed.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at", "row")).alias("first"),
                                                    F.first("bands").alias("bands"))
                     .withColumn("no", F.monotonically_increasing_id()), "mh-classes")
@@ -286,12 +287,20 @@ def met_classes(classes: DataFrame) -> DataFrame:
     return saved(members.where("size > 2").select("bucket", "size", "no").unionByName(two), "mh-met")
 
 
+def with_classes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows(k1, k2, ...)`` joined to ``classes(k1, k2, n, ...)``, without ``n``.  Classes of over ``HOT``
+    rows, of which there is at most one in ``HOT`` rows, are broadcast, so no task gets all rows of one."""
+    key, hot = ["k1", "k2"], F.broadcast(classes.where(F.col("n") > HOT))
+    cold = rows.join(hot.select(*key), key, "left_anti").join(classes.where(F.col("n") <= HOT).hint("merge"), key)
+    return cold.unionByName(rows.join(hot, key)).drop("n")
+
+
 def repeated_passages(met: DataFrame, lines: DataFrame) -> DataFrame:
     """The rows of ``repeated_paragraphs`` that are no whole lines, from the units that repeat."""
-    first = met.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "word", "row", "at")).alias("keeper"))
+    first = saved(met.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "word", "row", "at")).alias("keeper")), "mh-firsts")
     # rows with equal doc_id and text have the same units: merged as one, repeated after it
     places = met.groupBy("k1", "k2", "doc_id", "row", "word", "at").agg(F.count("*").alias("copies"))
-    hits = places.join(first.hint("merge"), ["k1", "k2"]).select(
+    hits = with_classes(places, first).select(
         "doc_id", "row", "word", "at", "copies", F.col("keeper.doc_id").alias("first_doc_id"), F.col("keeper.row").alias("first_row"),
         F.col("keeper.at").alias("first_at"), (~((F.col("row") == F.col("keeper.row")) & (F.col("word") == F.col("keeper.word")))).alias("removed"))
     whose = ["doc_id", "row", "first_doc_id", "first_row", "removed"]

@@ -192,6 +192,16 @@ def test_passages_inside_lines_across_lines_and_wrapped_anew(make, prose):
         assert r["paragraph"] == lines[r["word"]] and r["words"] >= pm.UNIT
 
 
+def test_no_task_holds_all_rows_of_a_hot_class(spark, monkeypatch):
+    monkeypatch.setattr(pm, "HOT", 10)
+    rows = spark.createDataFrame([(7, 7, i) for i in range(400)] + [(i, 1, i) for i in range(40)] + [(99, 9, 0)], "k1 long, k2 long, word int")
+    classes = spark.createDataFrame([(7, 7, 400, "hot")] + [(i, 1, 1, "cold") for i in range(40)], "k1 long, k2 long, n long, name string")
+    got = pm.with_classes(rows.repartition(8), classes)
+    assert sorted((r["k1"], r["word"], r["name"]) for r in got.collect()) == sorted([(7, i, "hot") for i in range(400)] + [(i, i, "cold") for i in range(40)])
+    sizes = got.where("name = 'hot'").rdd.glom().map(len).collect()
+    assert sum(sizes) == 400 and max(sizes) < 100
+
+
 def test_removed_passages_leave_the_text(make, prose):
     run, before, after, end = prose(60), prose(40), prose(45), prose(8)
     docs = make([(1, f"{before} {run} {after}"), (2, f"x\n{after[::-1]} {run}\n{end}"), (3, "spam " * 200)])
