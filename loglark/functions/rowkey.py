@@ -39,3 +39,19 @@ def rowkey(day: Column, info: Column, algo: str = "crc32") -> Column:
 def access_rowkey(day: Column, algo: str = "crc32") -> Column:
     """Row key of a parsed access row: referer+url+ip+ua."""
     return rowkey(day, key_info(*KEY_PARTS), algo)
+
+
+def access_digest(algo: str = "crc32") -> Column:
+    """The checksum part of ``access_rowkey`` in its shortest form, for rows that are shuffled by it:
+    a bigint for crc32, 16 bytes for md5."""
+    info = key_info(*KEY_PARTS)
+    if algo == "crc32":
+        return F.coalesce(F.crc32(info), F.lit(0).cast("bigint"))
+    if algo == "md5":
+        return F.unhex(F.md5(info))
+    raise ValueError(f"unknown rowkey algorithm {algo!r}")
+
+
+def digest_rowkey(day: Column, digest: Column, algo: str = "crc32") -> Column:
+    """``access_rowkey`` from its day and ``access_digest``."""
+    return F.concat(day, F.lit("_"), digest.cast("string") if algo == "crc32" else F.lower(F.hex(digest)))

@@ -1,10 +1,12 @@
 """Access-log ETL as one Catalyst plan.
 
-read.text -> parse (P1) -> geo range join (J1) -> agent rules (P5) -> time (P2)
--> row key (P6) -> latest row per key (W1) -> replace the day (K1/K2).
+read.text -> parse (P1) -> agent rules (P5) -> time (P2) -> row key (P6) ->
+latest row per key (W1) -> geo range join (J1) -> replace the day (K1/K2).
 
-The only shuffle is the dedup on (day, rowkey), which runs partial
-aggregation first.  Quarantined lines are written next to the table.
+The job shuffles for the dedup on (day, row key), which runs partial
+aggregation first, and a backfill once more to give each day few files.  What follows from other columns (geo
+from ip, ``formattime`` from the instant, the key's text from its bytes) is added
+after the last shuffle.  Quarantined lines are written next to the table.
 """
 
 from __future__ import annotations
@@ -15,17 +17,24 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglark.functions.rowkey import access_rowkey
-from loglark.functions.timefmt import DEFAULT_ZONE
+from loglark.functions.rowkey import access_digest, access_rowkey, digest_rowkey
+from loglark.functions.timefmt import DEFAULT_ZONE, format_instant
 from loglark.functions.useragent import with_agent_columns
 from loglark.operators.dedup import latest_per_key
-from loglark.operators.geo import enrich_geo, overlapping_ranges
-from loglark.operators.sizing import DEFAULT_BROADCAST_ROWS
+from loglark.operators.geo import bucketize_ranges, enrich_geo, overlapping_ranges
+from loglark.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from loglark.schemas import STORED_FIELDS
 from loglark.session import new_scratch
 from loglark.sinks.tables import replace_day, replace_days, table_exists
 from loglark.sources.access_log import good_rows, parse_lines, read_access_log
 
+#: Most rows of a staged file.  Parsed log rows are packed so well that a scan split of 128 MB would hold tens of millions of
+#: them, and the dedup sorts a split's rows; Spark adds an opening cost of 4 MB to every file, so a split takes about 30 of them.
+STAGED_FILE_ROWS = 10_000
+
+#: The stored columns that are neither derived after the dedup nor its order: what the dedup shuffles besides its keys.
+CARRIED_FIELDS = [c for c in STORED_FIELDS if c not in ("country", "province", "city", "formattime")]
+
 
 def clean_access(parsed: DataFrame, geo: DataFrame, day: str | None = None, key_algo: str = "crc32",
                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -57,17 +66,39 @@ def access_table(lines: DataFrame, geo: DataFrame, day: str | None = None, key_a
     return stored_rows(clean_access(parsed, geo, day, key_algo, broadcast_rows))
 
 
+def latest_rows(parsed: DataFrame, day: str | None = None, key_algo: str = "crc32") -> DataFrame:
+    """W1 on good parsed rows, before the columns that ``full_rows`` derives: one row per (day, row key).
+
+    Ties go by the same columns in the same order as in ``stored_rows``: the geo columns follow from ``ip``,
+    which stands before them there, and ``formattime`` from ``time_ts``.
+    """
+    df = with_agent_columns(parsed, "ua")
+    day_col = F.lit(day) if day is not None else F.substring(F.col("formattime"), 1, 8)
+    slim = df.select(day_col.alias("day"), access_digest(key_algo).alias("_digest"), "time_ts",
+                     F.col("bytessent").try_cast("bigint").alias("_bytes"), *CARRIED_FIELDS)
+    return latest_per_key(slim, ["day", "_digest"], ["time_ts", "_bytes"])
+
+
+def full_rows(latest: DataFrame, geo: DataFrame, key_algo: str = "crc32", zone: str = DEFAULT_ZONE,
+              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``latest_rows`` -> the stored day table rows.  ``geo`` ranges must not overlap."""
+    df = enrich_geo(latest, geo, broadcast_rows=broadcast_rows)
+    df = df.withColumn("formattime", format_instant(F.col("time_ts"), zone))
+    return df.select(digest_rowkey(F.col("day"), F.col("_digest"), key_algo).alias("rowkey"), *STORED_FIELDS, "hits", "day")
+
+
 def staged_lines(lines: DataFrame, path: str, zone: str = DEFAULT_ZONE) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with their line) after one pass over the raw text:
-    the parse is written once to ``path``, split by outcome,
-    and both outputs read their part of it."""
+    the parse is written once to ``path``, and both outputs read their rows and columns of it.
+    Rows are written as they come (one folder per outcome would make each task sort its rows first).
+    A file holds at most ``STAGED_FILE_ROWS`` rows, which bounds what a task that reads it has to sort."""
     spark = lines.sparkSession
     parsed = parse_lines(lines, zone=zone, keep_line=True)
     bad = F.col("_reason").isNotNull()
-    staged = parsed.withColumn("line", F.when(bad, F.col("line"))).withColumn("_bad", bad.cast("int"))
-    staged.write.partitionBy("_bad").parquet(path)
+    staged = parsed.withColumn("line", F.when(bad, F.col("line")))
+    staged.write.option("maxRecordsPerFile", STAGED_FILE_ROWS).parquet(path)
     back = spark.read.schema(staged.schema).parquet(path)
-    return back.where("_bad = 0").drop("_bad", "line", "_reason"), back.where("_bad = 1").drop("_bad")
+    return back.where(~bad).drop("line", "_reason"), back.where(bad)
 
 
 def run_access_etl(spark: SparkSession, input_path: str | list[str], table_path: str, day: str | None,
@@ -95,7 +126,7 @@ def run_access_etl(spark: SparkSession, input_path: str | list[str], table_path:
     staged = new_scratch(spark, "access-staged")
     try:
         good, bad = staged_lines(read_access_log(spark, input_path), staged, zone)
-        _write_outputs(good, bad, table_path, day, geo, key_algo, days)
+        _write_outputs(good, bad, table_path, day, geo, key_algo, days, zone)
     finally:
         path = spark._jvm.org.apache.hadoop.fs.Path(staged)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -119,26 +150,34 @@ def _append_once(rows: DataFrame, root: str, name: str) -> None:
 
 
 def _write_outputs(good: DataFrame, bad: DataFrame, table_path: str, day: str | None, geo: DataFrame, key_algo: str,
-                   days: Iterable[str] | None) -> None:
-    table = stored_rows(clean_access(good, geo, day, key_algo))
+                   days: Iterable[str] | None, zone: str = DEFAULT_ZONE) -> None:
+    latest = latest_rows(good, day, key_algo)
+    # a broadcast geo table is joined after the rows were dealt by day; a larger one shuffles the rows itself, so it is joined before
+    late_geo = broadcast_if_small(bucketize_ranges(geo))[1]
+
+    def dealt(rows: DataFrame, *by: str) -> DataFrame:
+        if late_geo:
+            return full_rows(rows.hint("rebalance", *by), geo, key_algo, zone)
+        return full_rows(rows, geo, key_algo, zone).hint("rebalance", *by)
+
     # bad lines are few and spread over every input split: rebalance them into
     # advisory-sized files instead of one small file per split
     lines = bad.select(F.col("_reason").alias("reason"), "line", "formattime").hint("rebalance")
     root = table_path.rstrip("/")
     if day is not None:
-        replace_day(table.drop("day"), root, day)
+        replace_day(full_rows(latest, geo, key_algo, zone).drop("day"), root, day)
         replace_day(lines.drop("formattime"), root + "_quarantine", day)
         return
     own_day = F.substring(F.col("formattime"), 1, 8)
     if days is None:
-        replace_days(table, root)
+        replace_days(dealt(latest, "day"), root, rebalance=False)
         bad_day, bad_days, run = F.coalesce(own_day, F.lit("unknown")), None, None
     else:
         listed = sorted(set(days))
         run = f"{listed[0]}-{listed[-1]}"
-        replace_days(table, root, listed)
         # the day is a grouping key of the dedup, so both filters go below it: no row is deduplicated twice
-        other = table.where(~F.col("day").isin(listed)).hint("rebalance")
+        replace_days(dealt(latest.where(F.col("day").isin(listed)), "day"), root, listed, rebalance=False)
+        other = dealt(latest.where(~F.col("day").isin(listed)))
         _append_once(other, root + "_other_days", run)
         bad_day = F.when(own_day.isin(listed), own_day).otherwise(F.lit(f"unlisted-{run}"))
         bad_days = [*listed, f"unlisted-{run}"]

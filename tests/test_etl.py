@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from loglark.plans import etl
 from loglark.plans.etl import run_access_etl
 from loglark.schemas import ACCESS_TABLE_WITH_DAY, GEO_RANGE
 from loglark.session import new_scratch
 from loglark.sinks.tables import read_day_table
+from loglark.sources.access_log import good_rows, parse_lines
 from test_access_log import CASES, line
 
 
@@ -80,3 +82,51 @@ def test_two_backfills_of_the_same_days_keep_both_their_stragglers(spark):
         run_access_etl(spark, f"{root}/in/{i}", table, None, geo, "md5", days=["20190129", "20190131"])
     assert sorted(r["ip"] for r in spark.read.parquet(table + "_other_days").collect()) == ["1.2.3.1", "1.2.3.2"]
     assert staged() == before  # the staged copies are gone
+
+
+def _tied_lines():
+    """Keys on several lines, with ties in time and bytes, no geo, odd agents, keys that are equal as joined text, and bad lines."""
+    data = [line(ip=f"1.2.3.{i % 40}", time=f"30/Jan/2019:23:{i % 7:02d}:00 +0800", nbytes=str(i % 3), status="200" if i % 2 else "404",
+                 req=f"GET /p/{i % 5} HTTP/1.1") for i in range(600)]
+    data += [line(ip=f"9.9.9.{i % 4}", time="31/Jan/2019:00:00:00 +0800", nbytes="-", ua="curl/8.4.0") for i in range(30)]
+    data += [line(referer="a", req="GET bc HTTP/1.1"), line(referer="ab", req="GET c HTTP/1.1"), line(ip="not-an-ip"), "not a line", ""]
+    return data
+
+
+@pytest.mark.parametrize("algo", ["crc32", "md5"])
+@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
+def test_narrow_dedup_gives_the_rows_of_the_wide_one(spark, algo, broadcast_rows):
+    geo = spark.createDataFrame([(16909056, 16909071, "CN", "BJ", "BJ"), (16909072, 16909311, "CN", "SH", None)], GEO_RANGE)
+    good = good_rows(parse_lines(spark.createDataFrame([(x,) for x in _tied_lines()], "value string"), zone="+05:30"))
+    wide = etl.stored_rows(etl.clean_access(good, geo, None, algo))
+    narrow = etl.full_rows(etl.latest_rows(good, None, algo), geo, algo, "+05:30", broadcast_rows)
+    assert narrow.columns == wide.columns
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(narrow) == rows(wide) and narrow.count() > 40
+
+
+def test_dedup_shuffles_no_derived_columns_and_staged_files_are_small(spark, monkeypatch):
+    root = new_scratch(spark, "test-etl-narrow")
+    _lines(spark, root + "/in", _tied_lines())
+    geo = spark.createDataFrame([(16909056, 16909311, "CN", "BJ", "BJ")], GEO_RANGE)
+    monkeypatch.setattr(etl, "STAGED_FILE_ROWS", 100)
+    seen = {}
+    dedup, write = etl.latest_per_key, etl._write_outputs
+
+    def kept_dedup(df, keys, order):
+        seen["columns"] = df.columns
+        return dedup(df, keys, order)
+
+    def kept_write(good, bad, *rest):
+        files = good.groupBy(F.input_file_name()).count().collect()
+        seen["files"], seen["good"], seen["bad"] = [r["count"] for r in files], good.count(), bad.count()
+        write(good, bad, *rest)
+
+    monkeypatch.setattr(etl, "latest_per_key", kept_dedup)
+    monkeypatch.setattr(etl, "_write_outputs", kept_write)
+    run_access_etl(spark, root + "/in", root + "/t", None, geo, "md5")
+    assert not {"country", "province", "city", "formattime", "rowkey", "ua"} & set(seen["columns"])
+    assert max(seen["files"]) <= 100 and (seen["good"], seen["bad"]) == (633, 2)
+    t = read_day_table(spark, root + "/t", ACCESS_TABLE_WITH_DAY)
+    assert {r["day"]: r["n"] for r in t.groupBy("day").agg(F.sum("hits").alias("n")).collect()} == {"20190130": 603, "20190131": 30}
+    assert spark.read.parquet(root + "/t_quarantine").count() == 2
