@@ -45,9 +45,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from loglark.llm.common import dropped, saved, saved_at, shuffles_freed
+from loglark.llm.common import dropped, saved, saved_at
 from loglark.llm.graph import connected_components
-from loglark.session import new_scratch
+from loglark.session import new_scratch, shuffles_freed
 
 SHINGLE, LIKE = 5, 0.8
 BANDS, ROWS = 14, 4

@@ -24,7 +24,7 @@ from loglark.operators.dedup import latest_per_key
 from loglark.operators.geo import bucketize_ranges, enrich_geo, overlapping_ranges
 from loglark.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from loglark.schemas import STORED_FIELDS
-from loglark.session import new_scratch
+from loglark.session import new_scratch, shuffles_freed
 from loglark.sinks.tables import replace_day, replace_days, table_exists
 from loglark.sources.access_log import good_rows, parse_lines, read_access_log
 
@@ -125,8 +125,9 @@ def run_access_etl(spark: SparkSession, input_path: str | list[str], table_path:
         raise ValueError("the table exists: list the days that the backfill replaces")
     staged = new_scratch(spark, "access-staged")
     try:
-        good, bad = staged_lines(read_access_log(spark, input_path), staged, zone)
-        _write_outputs(good, bad, table_path, day, geo, key_algo, days, zone)
+        with shuffles_freed(spark):
+            good, bad = staged_lines(read_access_log(spark, input_path), staged, zone)
+            _write_outputs(good, bad, table_path, day, geo, key_algo, days, zone)
     finally:
         path = spark._jvm.org.apache.hadoop.fs.Path(staged)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loglark.session import shuffles_freed
 
 #: Most cells of a stored file.  Sorted cells are packed so well that a scan split of 128 MB would hold tens of
 #: millions of them; Spark adds an opening cost to every file, so a split takes about 25 files of this size.
@@ -98,5 +99,6 @@ def write_sorted_cells(cells: DataFrame, path: str, partitions: int | None = Non
     if not presorted:
         ranged = cells.repartitionByRange(partitions, *order) if partitions else cells.repartitionByRange(*order)
         cells = ranged.sortWithinPartitions(*order)
-    (cells.write.mode(mode).option("maxRecordsPerFile", FILE_CELLS)
-           .option("parquet.bloom.filter.enabled#rowkey", "true").parquet(path))
+    with shuffles_freed(cells.sparkSession):
+        (cells.write.mode(mode).option("maxRecordsPerFile", FILE_CELLS)
+               .option("parquet.bloom.filter.enabled#rowkey", "true").parquet(path))
